@@ -53,6 +53,19 @@ def content_similarity(products: DataFrame, threshold: float = 0.4) -> Similarit
     return Similarity(members, profile_pairs(text.profile_vectors(products), threshold))
 
 
+def hashed_content_similarity(products: DataFrame, threshold: float = 0.4) -> Similarity:
+    """The same over hashed words: words that share a bucket count as one."""
+    members = text.profiles(products).withColumnRenamed("profile", "grp")
+    return Similarity(members, profile_pairs(text.hashed_vectors(products), threshold))
+
+
+def led_pairs(sim: Similarity) -> DataFrame:
+    """The group pairs, each group named by its smallest product."""
+    leaders = sim.members.groupBy("grp").agg(F.min("productId").alias("productId"))
+    other = leaders.select(F.col("grp").alias("simGrp"), F.col("productId").alias("simProductId"))
+    return sim.pairs.join(leaders, "grp").join(other, "simGrp").select("productId", "simProductId", "score")
+
+
 def profile_pairs(vectors: DataFrame, threshold: float) -> DataFrame:
     """grp, simGrp, score over unit sparse vectors; exact for any threshold >= 0.
 
@@ -153,7 +166,7 @@ def ranked_members(members: DataFrame) -> DataFrame:
 
 
 def nearest(sim: Similarity, asked: DataFrame, key: list[str]) -> DataFrame:
-    """key..., simProductId, score: for each asked row its ``need`` best similar products, or a few more.
+    """key..., simProductId, simGrp, score: for each asked row its ``need`` best similar products, or a few more.
 
     ``asked`` has the key columns, productId and ``need``.  The asked product itself
     never appears.  Groups are read best first until they cover ``need`` items (with all groups
@@ -186,7 +199,7 @@ def nearest(sim: Similarity, asked: DataFrame, key: list[str]) -> DataFrame:
     return (
         wanted.join(items, ["grp", "level"])
         .where((F.col("place") <= F.col("last")) & (F.col("simProductId") != F.col("askedId")))
-        .select(*key, "simProductId", "score")
+        .select(*key, "simProductId", F.col("grp").alias("simGrp"), "score")
     )
 
 

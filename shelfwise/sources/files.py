@@ -6,6 +6,7 @@ from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shelfwise import schemas
 
@@ -36,17 +37,16 @@ def read_products(spark: SparkSession, path: str) -> Loaded:
 
 def read_ratings(spark: SparkSession, path: str) -> Loaded:
     """Comma-separated ratings; a malformed line is kept aside, never fatal."""
-    layout = schemas.RATING.add("malformed", "string")
+    layout = T.StructType([*schemas.RATING.fields, T.StructField("malformed", T.StringType())])
     rows = (
         spark.read.schema(layout)
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", "malformed")
         .csv(path)
     )
-    fields = schemas.RATING.fieldNames()[:4]
     good = F.col("malformed").isNull()
     return Loaded(
-        rows.where(good).select(*fields),
+        rows.where(good).select(*schemas.RATING.fieldNames()),
         rows.where(~good).select(F.col("malformed").alias("value")),
     )
 
