@@ -59,13 +59,6 @@ def hashed_content_similarity(products: DataFrame, threshold: float = 0.4) -> Si
     return Similarity(members, profile_pairs(text.hashed_vectors(products), threshold))
 
 
-def led_pairs(sim: Similarity) -> DataFrame:
-    """The group pairs, each group named by its smallest product."""
-    leaders = sim.members.groupBy("grp").agg(F.min("productId").alias("productId"))
-    other = leaders.select(F.col("grp").alias("simGrp"), F.col("productId").alias("simProductId"))
-    return sim.pairs.join(leaders, "grp").join(other, "simGrp").select("productId", "simProductId", "score")
-
-
 def profile_pairs(vectors: DataFrame, threshold: float) -> DataFrame:
     """grp, simGrp, score over unit sparse vectors; exact for any threshold >= 0.
 

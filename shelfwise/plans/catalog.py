@@ -85,9 +85,7 @@ def sim_map_lookup(spark: SparkSession, sf: str) -> DataFrame:
 
 def vector_cosine_pairs(spark: SparkSession, sf: str) -> DataFrame:
     sim = dense.cosine_similarity(src.vectors(spark, sf), 0.3)
-    return similarity.led_pairs(sim).select(
-        F.col("productId").alias("id"), F.col("simProductId").alias("simId"), six("score")
-    )
+    return sim.pairs.select(F.col("grp").alias("id"), F.col("simGrp").alias("simId"), six("score"))
 
 
 def factor_scores_top20(spark: SparkSession, sf: str) -> DataFrame:
@@ -168,7 +166,8 @@ def als_recommend(spark: SparkSession, sf: str) -> DataFrame:
 
 def als_item_similarity(spark: SparkSession, sf: str) -> DataFrame:
     model = als.fit(src.ratings(spark, sf), 5, 10, 0.1)
-    return similarity.led_pairs(als.item_similarity(model))
+    sim = als.top_items(model, TOP)
+    return similarity.top_similar(sim, sim.members, TOP)
 
 
 def als_grid_search(spark: SparkSession, sf: str) -> DataFrame:

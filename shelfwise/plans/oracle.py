@@ -165,7 +165,7 @@ BODIES = {
     "factor_scores_top20": """
         SELECT userId, productId, round(score, 6) AS score, CAST(rank AS INTEGER) AS rank FROM (
             SELECT a.id AS userId, b.id AS productId, list_inner_product(a.v, b.v) AS score,
-                   row_number() OVER (PARTITION BY a.id ORDER BY list_inner_product(a.v, b.v) DESC, b.id) AS rank
+                   row_number() OVER (PARTITION BY a.id ORDER BY round(list_inner_product(a.v, b.v), 9) DESC, b.id) AS rank
             FROM embedded a, embedded b WHERE list_inner_product(a.v, b.v) > 0) WHERE rank <= 20""",
     "tfidf_terms": "SELECT productId, term, tf, round(weight, 6) AS weight FROM tfidf",
     "content_profiles": "SELECT productId, profile FROM profiles",
