@@ -34,6 +34,17 @@ def chunk_pair_sides(rows: DataFrame, chunk: str, chunks: str) -> tuple[DataFram
     return left.drop(chunk, chunks), right.drop(chunk, chunks)
 
 
+def spread(rows: DataFrame, *keys: str) -> DataFrame:
+    """Hash-partitions the input of a join that multiplies rows.
+
+    Partition sizes before such a join say little about the work after it, so they must not be merged
+    by size; a given partition number is kept as it is.
+    """
+    spark = rows.sparkSession
+    configured = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    return rows.repartition(max(configured, spark.sparkContext.defaultParallelism), *keys)
+
+
 def once(left_member: str, right_member: str) -> Column:
     """True for exactly one orientation of an unordered pair (used with lo, hi)."""
     return (F.col("lo") < F.col("hi")) | (F.col(left_member) < F.col(right_member))

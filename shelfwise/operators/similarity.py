@@ -15,14 +15,14 @@ from pyspark.sql import functions as F
 from shelfwise.operators import pairing, text
 
 SLACK = 1e-9
-CHUNK = 2048
+CHUNK = 512
 # Scores equal to this many decimals rank by product id.
 RANK_DIGITS = 9
 ID_BLOCK = 65_536
 
 
 class Similarity(NamedTuple):
-    members: DataFrame  # productId, grp
+    members: DataFrame  # productId, grp (the smallest productId of the group)
     pairs: DataFrame  # grp, simGrp, score (both directions; grp = simGrp when a group has copies)
 
 
@@ -49,14 +49,16 @@ def to_pairs(sim: Similarity) -> DataFrame:
 
 def content_similarity(products: DataFrame, threshold: float = 0.4) -> Similarity:
     """Products whose tag TF-IDF cosine exceeds the threshold."""
-    members = text.profiles(products).withColumnRenamed("profile", "grp")
-    return Similarity(members, profile_pairs(text.profile_vectors(products), threshold))
+    return Similarity(
+        text.group_members(products), profile_pairs(text.profile_vectors(products), threshold)
+    )
 
 
 def hashed_content_similarity(products: DataFrame, threshold: float = 0.4) -> Similarity:
     """The same over hashed words: words that share a bucket count as one."""
-    members = text.profiles(products).withColumnRenamed("profile", "grp")
-    return Similarity(members, profile_pairs(text.hashed_vectors(products), threshold))
+    return Similarity(
+        text.group_members(products), profile_pairs(text.hashed_vectors(products), threshold)
+    )
 
 
 def profile_pairs(vectors: DataFrame, threshold: float) -> DataFrame:
@@ -79,26 +81,26 @@ def profile_pairs(vectors: DataFrame, threshold: float) -> DataFrame:
     )
     heads = (
         vectors.withColumn("tails", tails)
-        .select("profile", "entries", "tails", F.posexplode("entries").alias("pos", "e"))
+        .select("grp", "entries", "tails", F.posexplode("entries").alias("pos", "e"))
         .where(F.get("tails", F.col("pos")) > cut)
     )
     posted = heads.select(
         F.col("e.term").alias("term"),
         F.col("e.w").alias("w"),
         F.coalesce(F.get("tails", F.col("pos") + 1), F.lit(0.0)).alias("rest"),
-        "profile",
+        "grp",
         F.transform(F.slice("entries", 1, F.col("pos")), lambda e: e["term"]).alias("before"),
         F.slice("entries", F.col("pos") + 2, F.size("entries")).alias("after"),
         pairing.chunk_count(F.col("e.listed"), CHUNK).alias("chunks"),
-    ).withColumn("chunk", pairing.chunk_of(F.col("profile"), F.col("chunks")))
+    ).withColumn("chunk", pairing.chunk_of(F.col("grp"), F.col("chunks")))
     left, right = pairing.chunk_pair_sides(posted, "chunk", "chunks")
-    a = left.select(
-        "term", "lo", "hi", F.col("profile").alias("p1"), F.col("w").alias("w1"),
+    a = pairing.spread(left, "term", "lo", "hi").select(
+        "term", "lo", "hi", F.col("grp").alias("p1"), F.col("w").alias("w1"),
         F.col("rest").alias("rest1"), F.col("before").alias("before1"),
         F.transform("after", lambda e: F.struct(e["term"].alias("term"), e["w"].alias("w"))).alias("after1"),
     )
     b = right.select(
-        "term", "lo", "hi", F.col("profile").alias("p2"), F.col("w").alias("w2"),
+        "term", "lo", "hi", F.col("grp").alias("p2"), F.col("w").alias("w2"),
         F.col("rest").alias("rest2"), F.col("before").alias("before2"),
         F.map_from_entries(
             F.transform("after", lambda e: F.struct(e["term"], e["w"]))
@@ -116,7 +118,7 @@ def profile_pairs(vectors: DataFrame, threshold: float) -> DataFrame:
         lambda acc, e: acc + e["w"] * F.coalesce(F.try_element_at(F.col("after2"), e["term"]), F.lit(0.0)),
     )
     triangle = met.select("p1", "p2", score.alias("score")).where(F.col("score") > threshold)
-    return both_directions(triangle).unionByName(copies(vectors, "profile", threshold))
+    return both_directions(triangle).unionByName(copies(vectors, "grp", threshold))
 
 
 def both_directions(triangle: DataFrame) -> DataFrame:
@@ -158,17 +160,20 @@ def ranked_members(members: DataFrame) -> DataFrame:
     )
 
 
-def nearest(sim: Similarity, asked: DataFrame, key: list[str]) -> DataFrame:
+def nearest(sim: Similarity, asked: DataFrame, key: list[str], most: int | None = None) -> DataFrame:
     """key..., simProductId, simGrp, score: for each asked row its ``need`` best similar products, or a few more.
 
     ``asked`` has the key columns, productId and ``need``.  The asked product itself
     never appears.  Groups are read best first until they cover ``need`` items (with all groups
     that tie with the last), and of each group only the first need + 1 items.
     Items are matched by power-of-two level, so a row with a small need never meets
-    the bulk of a large group.
+    the bulk of a large group.  ``most`` says that no need is larger; without it the
+    pairs are first reduced to the groups that are asked for.
     """
+    owners = asked.join(sim.members, "productId")
     sizes = sim.members.groupBy("grp").agg(F.count(F.lit(1)).alias("size"))
-    graded = sim.pairs.join(sizes.withColumnRenamed("grp", "simGrp"), "simGrp").withColumn(
+    pairs = sim.pairs if most else sim.pairs.join(owners.select("grp").distinct(), "grp", "left_semi")
+    graded = pairs.join(sizes.withColumnRenamed("grp", "simGrp"), "simGrp").withColumn(
         "grade", F.round("score", RANK_DIGITS)
     )
     better = Window.partitionBy("grp").orderBy(F.desc("grade")).rangeBetween(Window.unboundedPreceding, Window.currentRow)
@@ -177,9 +182,10 @@ def nearest(sim: Similarity, asked: DataFrame, key: list[str]) -> DataFrame:
         "grp", "simGrp", "score", "size",
         (F.sum("size").over(better) - F.sum("size").over(tied)).alias("ahead"),
     )
+    if most:
+        reach = reach.where(F.col("ahead") <= most)
     wanted = (
-        asked.join(sim.members, "productId")
-        .join(reach, "grp")
+        owners.join(reach, "grp")
         # The asked item sits in its own group, so one extra place is read.
         .where(F.col("ahead") < F.col("need") + 1)
         .withColumn("last", F.least(F.col("need") + 1, F.col("size")))
@@ -201,7 +207,7 @@ def top_similar(sim: Similarity, asked: DataFrame, k: int) -> DataFrame:
     rows = asked.select("productId").distinct().select(
         "productId", F.lit(k).alias("need"), F.col("productId").alias("forProduct")
     )
-    found = nearest(sim, rows, ["forProduct"])
+    found = nearest(sim, rows, ["forProduct"], k)
     order = Window.partitionBy("forProduct").orderBy(F.round("score", RANK_DIGITS).desc(), "simProductId")
     return (
         found.withColumn("rank", F.row_number().over(order))

@@ -83,11 +83,14 @@ def sim_map_lookup(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
-def vector_cosine_pairs(spark: SparkSession, sf: str) -> DataFrame:
-    sim = dense.cosine_similarity(src.vectors(spark, sf), 0.3)
+def _group_pairs(sim: similarity.Similarity) -> DataFrame:
     return sim.pairs.select(F.col("grp").alias("id"), F.col("simGrp").alias("simId"), six("score"))
 
 
+def vector_cosine_pairs(spark: SparkSession, sf: str) -> DataFrame:
+    return _group_pairs(dense.cosine_similarity(src.vectors(spark, sf), 0.3))
+
+
 def factor_scores_top20(spark: SparkSession, sf: str) -> DataFrame:
     factors = src.vectors(spark, sf)
     return dense.top_products(factors, factors, TOP).select("userId", "productId", six("score"), "rank")
@@ -98,15 +101,12 @@ def tfidf_terms(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def content_similar(spark: SparkSession, sf: str) -> DataFrame:
-    """All similar pairs of distinct tag profiles; products join it through their profile."""
-    sim = similarity.content_similarity(src.products(spark, sf))
-    return sim.pairs.select(
-        F.col("grp").alias("profile"), F.col("simGrp").alias("simProfile"), six("score")
-    )
+    """All similar pairs of groups of equally tagged products; ``content_groups`` has the members."""
+    return _group_pairs(similarity.content_similarity(src.products(spark, sf)))
 
 
-def content_profiles(spark: SparkSession, sf: str) -> DataFrame:
-    return text.profiles(src.products(spark, sf))
+def content_groups(spark: SparkSession, sf: str) -> DataFrame:
+    return text.group_members(src.products(spark, sf))
 
 
 def content_top20(spark: SparkSession, sf: str) -> DataFrame:
@@ -116,10 +116,7 @@ def content_top20(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def content_similar_hashed(spark: SparkSession, sf: str) -> DataFrame:
-    sim = similarity.hashed_content_similarity(src.products(spark, sf))
-    return sim.pairs.select(
-        F.col("grp").alias("profile"), F.col("simGrp").alias("simProfile"), six("score")
-    )
+    return _group_pairs(similarity.hashed_content_similarity(src.products(spark, sf)))
 
 
 # --- matrix factorisation ---------------------------------------------------------------
@@ -404,7 +401,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in (
         rate_more_products, rate_more_recently, average_products, top5_average, distinct_users_products,
         itemcf_top20, itemcf_recs_list, sim_map_lookup, vector_cosine_pairs, factor_scores_top20,
-        tfidf_terms, content_profiles, content_similar, content_top20, content_similar_hashed,
+        tfidf_terms, content_groups, content_similar, content_top20, content_similar_hashed,
         rmse_eval, grid_argmin, als_recommend, als_item_similarity, als_grid_search,
         rating_log_filter, rating_log_parse, rating_log_rejects, rating_log_lines,
         recent_ratings_per_user, candidate_products, online_rerank,

@@ -69,6 +69,7 @@ CTES = {
         SELECT productId,
                array_to_string(list_sort(string_split(lower(replace(tags, '|', ' ')), ' ')), ' ') AS profile
         FROM products""",
+    "profileleaders": "SELECT profile, min(productId) AS id FROM profiles GROUP BY profile",
     "vectors": """
         SELECT profile, term, weight FROM tfidf JOIN
             (SELECT profile, min(productId) AS productId FROM profiles GROUP BY profile) USING (productId)""",
@@ -168,8 +169,10 @@ BODIES = {
                    row_number() OVER (PARTITION BY a.id ORDER BY round(list_inner_product(a.v, b.v), 9) DESC, b.id) AS rank
             FROM embedded a, embedded b WHERE list_inner_product(a.v, b.v) > 0) WHERE rank <= 20""",
     "tfidf_terms": "SELECT productId, term, tf, round(weight, 6) AS weight FROM tfidf",
-    "content_profiles": "SELECT productId, profile FROM profiles",
-    "content_similar": "SELECT profile, simProfile, round(score, 6) AS score FROM profilepairs",
+    "content_groups": "SELECT productId, min(productId) OVER (PARTITION BY profile) AS grp FROM profiles",
+    "content_similar": """
+        SELECT a.id AS id, b.id AS simId, round(score, 6) AS score FROM profilepairs p
+        JOIN profileleaders a ON p.profile = a.profile JOIN profileleaders b ON p.simProfile = b.profile""",
     "content_top20": """
         SELECT productId, simProductId, round(score, 6) AS score, CAST(rank AS INTEGER) AS rank
         FROM contentranked WHERE rank <= 20""",

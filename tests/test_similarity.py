@@ -89,10 +89,9 @@ def test_hashed_vectors_equal_exact_without_collision(spark):
     exact = {}
     for r in text.tfidf(df).collect():
         exact.setdefault(r.productId, []).append(round(r.weight, 9))
-    members = {r.profile: r.productId for r in text.profiles(df).collect()}
     unit = {}
     for r in text.hashed_vectors(df, 2**12).collect():
-        unit[members[r.profile]] = sorted(round(e.w, 9) for e in r.entries)
+        unit[r.grp] = sorted(round(e.w, 9) for e in r.entries)
     for product, weights in exact.items():
         length = math.sqrt(sum(w * w for w in weights))
         assert unit[product] == pytest.approx(sorted(w / length for w in weights), abs=1e-8)
