@@ -6,7 +6,6 @@ from typing import NamedTuple
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql import types as T
 
 from shelfwise import schemas
 
@@ -35,20 +34,27 @@ def read_products(spark: SparkSession, path: str) -> Loaded:
     return parse_products(spark.read.text(path))
 
 
-def read_ratings(spark: SparkSession, path: str) -> Loaded:
-    """Comma-separated ratings; a malformed line is kept aside, never fatal."""
-    layout = T.StructType([*schemas.RATING.fields, T.StructField("malformed", T.StringType())])
-    rows = (
-        spark.read.schema(layout)
-        .option("mode", "PERMISSIVE")
-        .option("columnNameOfCorruptRecord", "malformed")
-        .csv(path)
-    )
-    good = F.col("malformed").isNull()
-    return Loaded(
-        rows.where(good).select(*schemas.RATING.fieldNames()),
-        rows.where(~good).select(F.col("malformed").alias("value")),
+def parse_rating_lines(lines: DataFrame) -> Loaded:
+    """``userId,productId,score,timestamp`` lines -> ratings, plus the lines that lack a field.
+
+    Split and cast by hand: the CSV source would judge a line only by the columns a query reads.
+    """
+    parts = F.split("value", ",")
+    parsed = lines.select(
+        "value",
+        *[
+            F.trim(F.get(parts, F.lit(i))).try_cast(field.dataType).alias(field.name)
+            for i, field in enumerate(schemas.RATING.fields)
+        ],
     )
+    whole = F.lit(True)
+    for field in schemas.RATING.fields:
+        whole = whole & F.col(field.name).isNotNull()
+    return Loaded(parsed.where(whole).drop("value"), parsed.where(~whole).select("value"))
+
+
+def read_ratings(spark: SparkSession, path: str) -> Loaded:
+    return parse_rating_lines(spark.read.text(path))
 
 
 def product_lines(products: DataFrame) -> DataFrame:
