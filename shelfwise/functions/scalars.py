@@ -24,7 +24,10 @@ def epoch_seconds(c: Column | str) -> Column:
 
 def time_bucket(epoch: Column | str, pattern: str = "yyyyMM") -> Column:
     """Integer calendar bucket of an epoch second; ``yyyyMM`` is year-month."""
-    return F.date_format(F.timestamp_seconds(col(epoch)), pattern).cast("int")
+    time = F.timestamp_seconds(col(epoch))
+    if pattern == "yyyyMM":  # the same number without formatting text
+        return F.year(time) * 100 + F.month(time)
+    return F.date_format(time, pattern).cast("int")
 
 
 def half_score(ui_score: Column | str) -> Column:

@@ -161,56 +161,78 @@ def ranked_members(members: DataFrame) -> DataFrame:
 
 
 def nearest(sim: Similarity, asked: DataFrame, key: list[str], most: int | None = None) -> DataFrame:
-    """key..., simProductId, simGrp, score: for each asked row its ``need`` best similar products, or a few more.
-
-    ``asked`` has the key columns, productId and ``need``.  The asked product itself
-    never appears.  Groups are read best first until they cover ``need`` items (with all groups
-    that tie with the last), and of each group only the first need + 1 items.
-    Items are matched by power-of-two level, so a row with a small need never meets
-    the bulk of a large group.  ``most`` says that no need is larger; without it the
-    pairs are first reduced to the groups that are asked for.
+    """key..., simProductId, simGrp, score: the ``need`` best items of each asked group, or a few more.
+
+    ``asked`` has the key columns, grp and ``need``.  Items of the asked group itself count too when it has
+    copies.  ``most`` says that no need is larger; without it the pairs are first reduced to the
+    groups that are asked for.
+
+    An item is beaten by every item of better-graded groups, by the first item of each group of its own grade
+    that starts with a smaller id, and by the smaller ids of its own group.  Only items beaten by fewer than
+    ``need`` of those are read, so neither many ties nor a group with a third of all items widens the
+    result.  They are found by power-of-two level of their place, so a row with a small
+    need never meets the bulk of a large group.
     """
-    owners = asked.join(sim.members, "productId")
-    sizes = sim.members.groupBy("grp").agg(F.count(F.lit(1)).alias("size"))
-    pairs = sim.pairs if most else sim.pairs.join(owners.select("grp").distinct(), "grp", "left_semi")
-    graded = pairs.join(sizes.withColumnRenamed("grp", "simGrp"), "simGrp").withColumn(
-        "grade", F.round("score", RANK_DIGITS)
-    )
-    better = Window.partitionBy("grp").orderBy(F.desc("grade")).rangeBetween(Window.unboundedPreceding, Window.currentRow)
-    tied = Window.partitionBy("grp", "grade")
+    sizes = sim.members.groupBy(F.col("grp").alias("simGrp")).agg(F.count(F.lit(1)).alias("size"))
+    pairs = sim.pairs if most else sim.pairs.join(asked.select("grp").distinct(), "grp", "left_semi")
+    graded = pairs.join(sizes, "simGrp").withColumn("grade", F.round("score", RANK_DIGITS))
+    grades = Window.partitionBy("grp").orderBy(F.desc("grade"))
+    tied = Window.partitionBy("grp", "grade").orderBy("simGrp")
+    whole = Window.partitionBy("grp", "grade")
     reach = graded.select(
         "grp", "simGrp", "score", "size",
-        (F.sum("size").over(better) - F.sum("size").over(tied)).alias("ahead"),
+        (
+            F.sum("size").over(grades.rangeBetween(Window.unboundedPreceding, Window.currentRow))
+            - F.sum("size").over(whole)
+            + F.row_number().over(tied)
+            - 1
+        ).alias("beaten"),
     )
     if most:
-        reach = reach.where(F.col("ahead") <= most)
+        reach = reach.where(F.col("beaten") < most)
     wanted = (
-        owners.join(reach, "grp")
-        # The asked item sits in its own group, so one extra place is read.
-        .where(F.col("ahead") < F.col("need") + 1)
-        .withColumn("last", F.least(F.col("need") + 1, F.col("size")))
+        asked.join(reach, "grp")
+        .where(F.col("beaten") < F.col("need"))
+        .withColumn("last", F.least(F.col("need") - F.col("beaten"), F.col("size")))
         .select(
-            *key, F.col("productId").alias("askedId"), "score", "last", F.col("simGrp").alias("grp"),
+            *key, "score", "last", F.col("simGrp").alias("grp"),
             F.explode(F.sequence(F.lit(0), F.floor(F.log2("last") + SLACK).cast("int"))).alias("level"),
         )
     )
     items = ranked_members(sim.members).withColumnRenamed("productId", "simProductId")
     return (
         wanted.join(items, ["grp", "level"])
-        .where((F.col("place") <= F.col("last")) & (F.col("simProductId") != F.col("askedId")))
+        .where(F.col("place") <= F.col("last"))
         .select(*key, "simProductId", F.col("grp").alias("simGrp"), "score")
     )
 
 
 def top_similar(sim: Similarity, asked: DataFrame, k: int) -> DataFrame:
-    """productId, simProductId, score, rank: the k best of every asked product."""
-    rows = asked.select("productId").distinct().select(
-        "productId", F.lit(k).alias("need"), F.col("productId").alias("forProduct")
-    )
-    found = nearest(sim, rows, ["forProduct"], k)
-    order = Window.partitionBy("forProduct").orderBy(F.round("score", RANK_DIGITS).desc(), "simProductId")
+    """productId, simProductId, score, rank: the k best of every asked product.
+
+    One list of k + 1 items is made per group and handed to its members, each of which leaves itself out.
+    """
+    owners = asked.select("productId").distinct().join(sim.members, "productId")
+    groups = owners.select("grp").distinct().select("grp", F.lit(k + 1).alias("need"), F.col("grp").alias("owner"))
+    found = nearest(sim, groups, ["owner"], k + 1)
+    order = Window.partitionBy("owner").orderBy(F.round("score", RANK_DIGITS).desc(), "simProductId")
+    best = found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k + 1)
+    entry = F.struct("rank", "simProductId", "score")
+    lists = best.groupBy(F.col("owner").alias("grp")).agg(F.sort_array(F.collect_list(entry)).alias("items"))
+    others = F.slice(F.filter("items", lambda i: i["simProductId"] != F.col("productId")), 1, k)
     return (
-        found.withColumn("rank", F.row_number().over(order))
-        .where(F.col("rank") <= k)
-        .withColumnRenamed("forProduct", "productId")
+        owners.join(lists, "grp")
+        .select("productId", F.posexplode(others).alias("pos", "i"))
+        .select(
+            "productId", F.col("i.simProductId").alias("simProductId"), F.col("i.score").alias("score"),
+            (F.col("pos") + 1).alias("rank"),
+        )
     )
+
+
+def stored(sim: Similarity, path: str) -> Similarity:
+    """Writes both parts below ``path`` (shared storage) and reads them back, for use in several plans."""
+    spark = sim.pairs.sparkSession
+    for name, part in zip(sim._fields, sim):
+        part.write.mode("overwrite").parquet(f"{path}/{name}")
+    return Similarity(*(spark.read.schema(part.schema).parquet(f"{path}/{name}") for name, part in zip(sim._fields, sim)))

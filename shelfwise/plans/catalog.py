@@ -220,8 +220,13 @@ def candidate_products(spark: SparkSession, sf: str) -> DataFrame:
     )
 
 
+def _stored_similarity(spark: SparkSession, sf: str) -> similarity.Similarity:
+    """Content similarity as a table: the re-ranker reads it in two places, a stream in every batch."""
+    return similarity.stored(similarity.content_similarity(src.products(spark, sf)), run_dir(spark, "similarity"))
+
+
 def _reranked(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    sim = similarity.content_similarity(src.products(spark, sf))
+    sim = _stored_similarity(spark, sf)
     rated = _all_ratings(spark, sf)
     latest = online.latest_per_user(_log_ratings(spark, sf))
     return latest, online.rerank(latest, online.recent_ratings(rated), sim, rated)
@@ -263,7 +268,7 @@ def stream_recency_queue(spark: SparkSession, sf: str) -> DataFrame:
 
 def stream_rerank_upsert(spark: SparkSession, sf: str) -> DataFrame:
     root = run_dir(spark, "rerank")
-    sim = similarity.content_similarity(src.products(spark, sf))
+    sim = _stored_similarity(spark, sf)
     job = pipelines.Reranker(spark, src.ratings(spark, sf), sim, root)
     messages = loglines.rating_lines(_log_stream(spark, sf))
     job.start(messages, f"{root}/checkpoint", every=None).awaitTermination()

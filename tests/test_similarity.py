@@ -68,6 +68,25 @@ def test_top_similar_equals_brute_force(spark, monkeypatch, k):
     assert dict(lists) == {i: [j for _, j in sorted(v)[:k]] for i, v in expected.items()}
 
 
+def test_many_ties_and_a_large_group_stay_narrow(spark):
+    """Reads stay near k per group although every group ties and one holds a third of all items."""
+    members = spark.range(300).selectExpr("id as productId", "if(id % 3 = 0, 0, id) as grp")
+    groups = [r.grp for r in members.select("grp").distinct().collect()]
+    rows = [(a, b, 0.75) for a in groups for b in groups if a != b] + [(0, 0, 1.0)]
+    pairs = spark.createDataFrame(rows, "grp long, simGrp long, score double")
+    sim = similarity.Similarity(members, pairs)
+    k = 4
+    lists = defaultdict(list)
+    for r in similarity.top_similar(sim, members, k).orderBy("productId", "rank").collect():
+        lists[r.productId].append(r.simProductId)
+    group = {i: 0 if i % 3 == 0 else i for i in range(300)}
+    for i in range(300):
+        order = sorted((-(1.0 if group[i] == group[j] else 0.75), j) for j in range(300) if j != i)
+        assert lists[i] == [j for _, j in order[:k]]
+    asked = spark.createDataFrame([(g, g, k + 1) for g in groups], "owner long, grp long, need int")
+    assert similarity.nearest(sim, asked, ["owner"], k + 1).count() <= len(groups) * (k + 1) * (k + 2) // 2
+
+
 def test_plain_pairs_round_trip(spark):
     pairs = [(1, 2, 0.9), (2, 1, 0.9), (1, 3, 0.5), (3, 1, 0.5)]
     df = spark.createDataFrame(pairs, "productId long, simProductId long, score double")
