@@ -195,7 +195,7 @@ def rating_log_rejects(spark: SparkSession, sf: str) -> DataFrame:
 
 def rating_log_lines(spark: SparkSession, sf: str) -> DataFrame:
     """The log lines that form posts leave behind."""
-    return upserts.rating_log(upserts.from_requests(src.rating_requests(spark, sf)))
+    return serving.rate_products(src.rating_requests(spark, sf), src.ratings(spark, sf)).log
 
 
 def _all_ratings(spark: SparkSession, sf: str) -> DataFrame:
@@ -279,8 +279,12 @@ def stream_rerank_upsert(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def rating_upsert(spark: SparkSession, sf: str) -> DataFrame:
-    updates = upserts.from_requests(src.rating_requests(spark, sf))
-    return upserts.upsert_ratings(src.ratings(spark, sf), updates)
+    return serving.rate_products(src.rating_requests(spark, sf), src.ratings(spark, sf)).ratings
+
+
+def rating_queues(spark: SparkSession, sf: str) -> DataFrame:
+    """Recency queues of the users who posted, after their posts."""
+    return serving.rate_products(src.rating_requests(spark, sf), src.ratings(spark, sf)).queues
 
 
 def rating_exists(spark: SparkSession, sf: str) -> DataFrame:
@@ -411,7 +415,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         rating_log_filter, rating_log_parse, rating_log_rejects, rating_log_lines,
         recent_ratings_per_user, candidate_products, online_rerank,
         stream_rating_filter, stream_recency_queue, stream_rerank_upsert,
-        rating_upsert, rating_exists, user_prefs_update,
+        rating_upsert, rating_queues, rating_exists, user_prefs_update,
         hot_products, rate_more_details, product_info, product_search,
         itemcf_neighbours, content_neighbours, user_recs_lookup, stream_recs_lookup,
         username_hash, json_roundtrip, load_products_text, load_ratings_csv,

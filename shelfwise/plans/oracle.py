@@ -211,6 +211,12 @@ BODIES = {
               FROM ratings GROUP BY 1, 2) b
         FULL JOIN (SELECT userId, productId, arg_max(score, (ts, score)) AS score, min(ts) AS ts
               FROM requests GROUP BY 1, 2) u USING (userId, productId)""",
+    "rating_queues": """
+        SELECT userId, CAST(rank AS INTEGER) AS rank,
+               concat(CAST(productId AS VARCHAR), ':', CAST(score AS VARCHAR)) AS entry FROM (
+            SELECT *, row_number() OVER (PARTITION BY userId ORDER BY ts DESC, productId, score DESC) AS rank
+            FROM (SELECT * FROM ratings WHERE userId IN (SELECT userId FROM requests)
+                  UNION ALL SELECT userId, productId, score, ts FROM requests)) WHERE rank <= 40""",
     "rating_exists": """
         SELECT userId, productId, score, ts AS "timestamp",
                EXISTS (SELECT 1 FROM ratings r WHERE r.userId = q.userId AND r.productId = q.productId) AS known

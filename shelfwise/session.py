@@ -13,8 +13,14 @@ DEFAULTS = {
     "spark.sql.adaptive.skewJoin.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.execution.arrow.pyspark.enabled": "true",
+    # Keyed stream state on local disk plus shared checkpoints, not on the heap.
+    "spark.sql.streaming.stateStore.providerClass": (
+        "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+    ),
 }
 
+_local_dirs: dict[str, str] = {}
+
 
 def build_session(app: str = "shelfwise", master: str | None = None, **conf: str) -> SparkSession:
     """A session with the settings the jobs expect."""
@@ -43,9 +49,10 @@ def shared_dir(spark: SparkSession) -> str:
         return configured
     if not spark.sparkContext.master.startswith("local"):
         raise ValueError("spark.checkpoint.dir must name a shared folder on a cluster")
-    chosen = tempfile.mkdtemp(prefix="shelfwise-")
-    spark.conf.set("spark.checkpoint.dir", chosen)
-    return chosen
+    app = spark.sparkContext.applicationId
+    if app not in _local_dirs:
+        _local_dirs[app] = tempfile.mkdtemp(prefix="shelfwise-")
+    return _local_dirs[app]
 
 
 def run_dir(spark: SparkSession, purpose: str) -> str:

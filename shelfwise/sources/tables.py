@@ -5,10 +5,14 @@ from __future__ import annotations
 from collections.abc import Iterable
 
 from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import functions as F
 from pyspark.sql.types import StructType
 
 from shelfwise import schemas
 
+USER_BUCKET = "userBucket"
+BUCKETS = 1024
+
 
 class Warehouse:
     """Named tables below a root path.  The format is any data source the cluster has."""
@@ -39,6 +43,18 @@ class Warehouse:
             self.read(name).createOrReplaceTempView(name)
 
 
+def with_user_bucket(rows: DataFrame, buckets: int = BUCKETS) -> DataFrame:
+    return rows.withColumn(USER_BUCKET, F.pmod(F.xxhash64("userId"), F.lit(buckets)).cast("int"))
+
+
+def save_by_user(ratings: DataFrame, path: str, buckets: int = BUCKETS) -> None:
+    """Ratings in folders by user bucket, so that reading a few users opens a few folders."""
+    rows = with_user_bucket(ratings, buckets)
+    # A bucket with a very active user is spread over several files.
+    spread = rows.repartition(F.col(USER_BUCKET), F.pmod(F.xxhash64("productId"), F.lit(8)))
+    spread.write.mode("overwrite").partitionBy(USER_BUCKET).parquet(path)
+
+
 def save_bucketed(rows: DataFrame, name: str, key: str, buckets: int) -> None:
     """Catalog table hashed and sorted on ``key``, so repeated joins on it need no exchange."""
     rows.write.mode("overwrite").bucketBy(buckets, key).sortBy(key).saveAsTable(name)
