@@ -357,7 +357,7 @@ def content_neighbours(spark: SparkSession, sf: str) -> DataFrame:
         similarity.content_similarity(products), _logged_products(spark, sf), NEIGHBOURS
     )
     lists = rc.as_recs(top, "productId", "simProductId", "score")
-    rows = serving.product_neighbours(lists, lists, products, _averages(spark, sf), NEIGHBOURS)
+    rows = serving.product_neighbours(lists, None, products, _averages(spark, sf), NEIGHBOURS)
     return _detail(rows.withColumn("score", six("score")), "forProduct", "rank", "score")
 
 

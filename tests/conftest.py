@@ -17,7 +17,7 @@ def spark(tmp_path_factory):
         "shelfwise-tests",
         "local[8]",
         **{
-            "spark.sql.shuffle.partitions": "8",
+            "spark.sql.shuffle.partitions": "4",
             "spark.ui.enabled": "false",
             "spark.driver.memory": "8g",
             "spark.checkpoint.dir": shared,
