@@ -21,6 +21,7 @@ from collections.abc import Iterator
 from itertools import chain
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -162,7 +163,7 @@ def decode(encoded: DataFrame, ids_col: str = "ids", vocabulary: tuple[str, str]
     where = vocabulary or default_vocabulary()
 
     @F.pandas_udf("string")
-    def text(ids):
+    def text(ids: pd.Series) -> pd.Series:
         own = codec(*where)
         return ids.map(lambda x: None if x is None else own.decode(x))
 

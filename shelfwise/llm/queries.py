@@ -4,8 +4,19 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfwise.llm import bpe, mixing
+from shelfwise.llm import bpe, langid, mixing, pii, secret_scan, toxicity
 from shelfwise.llm.common import documents
+from shelfwise.sources.bindings import table
+
+
+def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of every document."""
+    return langid.identify(documents(spark, sf_dir))
+
+
+def op4_secrets(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Secrets of every document; sources are owners, documents repositories."""
+    return secret_scan.scan(documents(spark, sf_dir))
 
 
 def op5_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -14,17 +25,77 @@ def op5_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken(line, mixed)
 
 
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data in every document."""
+    return pii.scan(documents(spark, sf_dir))
+
+
+def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score of every document."""
+    docs = documents(spark, sf_dir)
+    return toxicity.score(docs, toxicity.learn(docs, table(spark, sf_dir, "labels")))
+
+
 def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Digests of every text's token ids and of what they decode to."""
     return bpe.digests(documents(spark, sf_dir))
 
 
 QUERIES = {
+    "op3_language": op3_language,
+    "op4_secrets": op4_secrets,
     "op5_source_mix": op5_source_mix,
+    "op7_pii": op7_pii,
+    "op9_toxicity": op9_toxicity,
     "op10_byte_bpe": op10_byte_bpe,
 }
 
+def _secrets_sql() -> str:
+    """The scan in SQL, kind by kind: gaps and matches alternate, so ends are running sums."""
+    quoted = {kind: pattern.replace("'", "''") for kind, pattern in secret_scan.KINDS.items()}
+    each = "\nUNION ALL\n".join(
+        f"SELECT row, doc_id, owner, '{kind}' AS kind, {place} AS place, "
+        f"regexp_extract_all(text, '{pattern}') AS matches, string_split_regex(text, '{pattern}') AS gaps "
+        f"FROM docs WHERE regexp_matches(text, '{pattern}')"
+        for place, (kind, pattern) in enumerate(quoted.items())
+    )
+    return f"""
+WITH docs AS (
+  SELECT row_number() OVER () AS row, doc_id, coalesce(text, '') AS text, coalesce('o' || source, '') AS owner FROM documents),
+kinds AS ({each}),
+each AS (
+  SELECT row, doc_id, owner, kind, place, i, matches[i] AS match, length(gaps[i]) AS gap
+  FROM (SELECT *, unnest(range(1, len(matches) + 1)) AS i FROM kinds)),
+placed AS (
+  SELECT *, CAST(sum(gap + length(match)) OVER (PARTITION BY row, kind ORDER BY i) AS BIGINT) AS stop,
+    CASE WHEN kind = 'assign' THEN regexp_extract(match, '{quoted["assign"]}', 2) ELSE match END AS secret
+  FROM each),
+passed AS (
+  SELECT *, stop - length(match) AS start FROM placed
+  WHERE CASE kind WHEN 'assign' THEN length(secret) >= {secret_scan.MIN_ASSIGNED}
+    WHEN 'random' THEN regexp_matches(match, '[a-z]') AND regexp_matches(match, '[A-Z]') AND regexp_matches(match, '[0-9]')
+    ELSE true END),
+owned AS (
+  SELECT secret, count(DISTINCT doc_id) AS n_repositories, count(DISTINCT owner) AS n_owners FROM passed GROUP BY secret),
+judged AS (
+  SELECT p.*, kind || ':' || start || ':' || stop AS label,
+    n_owners <= {secret_scan.LIVE_OWNERS} AND n_repositories <= {secret_scan.LIVE_REPOSITORIES}
+      AND (kind IN ('private', 'login') OR len(list_distinct(string_split(secret, ''))) >= {secret_scan.LIVE_CHARACTERS}) AS live
+  FROM passed p JOIN owned USING (secret)),
+listed AS (
+  SELECT row, count_if(kind = 'assign') AS n_assign, count_if(kind = 'access') AS n_access, count_if(kind = 'hex') AS n_hex,
+    string_agg(label, ',' ORDER BY start, place) FILTER (place < {len(secret_scan.BASE)}) AS base,
+    string_agg(label, ',' ORDER BY start, place) AS spans, count_if(live) AS n_live, count_if(NOT live) AS n_example
+  FROM judged WHERE place < {len(secret_scan.BASE)} OR live GROUP BY row)
+SELECT doc_id, CAST(coalesce(n_assign, 0) AS BIGINT) AS n_assign, CAST(coalesce(n_access, 0) AS BIGINT) AS n_access,
+  CAST(coalesce(n_hex, 0) AS BIGINT) AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans,
+  CAST(coalesce(n_live, 0) AS BIGINT) AS n_live, CAST(coalesce(n_example, 0) AS BIGINT) AS n_example
+FROM docs LEFT JOIN listed USING (row)
+"""
+
+
 SQL = {
+    "op4_secrets": _secrets_sql(),
     "op5_source_mix": """
 WITH sized AS (
   SELECT doc_id, coalesce('0' || source, '1') AS skey,
