@@ -4,11 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfwise.llm import bpe, langid, mixing, pii, secret_scan, toxicity
+from shelfwise.llm import bpe, langid, minhash, mixing, pii, secret_scan, toxicity
 from shelfwise.llm.common import documents
 from shelfwise.sources.bindings import table
 
 
+def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate class of every document."""
+    return minhash.classes(documents(spark, sf_dir))
+
+
 def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Predicted language of every document."""
     return langid.identify(documents(spark, sf_dir))
@@ -42,6 +47,7 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op2_minhash": op2_minhash,
     "op3_language": op3_language,
     "op4_secrets": op4_secrets,
     "op5_source_mix": op5_source_mix,
@@ -95,6 +101,32 @@ FROM docs LEFT JOIN listed USING (row)
 
 
 SQL = {
+    "op2_minhash": """
+WITH RECURSIVE worded AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x20\\x09-\\x0D]+') AS w
+  FROM documents),
+runs AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 2), lambda i: array_to_string(w[i:i + 3], ' ')) END) AS s
+  FROM worded),
+copies AS (SELECT min(doc_id) AS node, s FROM (SELECT doc_id, list_sort(s) AS s FROM runs) WHERE len(s) > 0 GROUP BY s),
+parts AS (SELECT node, len(s) AS n, md5_number(unnest(s)) AS shingle FROM copies),
+common AS (
+  SELECT a.node AS a, b.node AS b, any_value(a.n) + any_value(b.n) AS n, count(*) AS inter
+  FROM parts a JOIN parts b ON a.shingle = b.shingle AND a.node < b.node GROUP BY a.node, b.node),
+links AS (
+  SELECT a, b FROM common WHERE 100 * inter >= 80 * (n - inter)
+  UNION SELECT b, a FROM common WHERE 100 * inter >= 80 * (n - inter)),
+reached AS (
+  SELECT node AS a, node AS b FROM copies
+  UNION SELECT r.a, l.b FROM reached r JOIN links l ON r.b = l.a),
+named AS (SELECT a AS node, min(b) AS component_id FROM reached GROUP BY a),
+of_set AS (SELECT c.s, n.component_id FROM copies c JOIN named n USING (node))
+SELECT r.doc_id, CAST(len(r.s) AS BIGINT) AS n_shingles, coalesce(o.component_id, r.doc_id) AS component_id,
+  r.doc_id = coalesce(o.component_id, r.doc_id) AS kept
+FROM runs r LEFT JOIN of_set o ON list_sort(r.s) = o.s
+""",
     "op4_secrets": _secrets_sql(),
     "op5_source_mix": """
 WITH sized AS (

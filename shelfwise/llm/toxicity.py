@@ -1,12 +1,13 @@
 """Toxicity by a factorization machine over hashed terms.
 
 A text's terms are its words and their first three to six letters, each hashed to one of ``2**HASH_BITS``
-buckets and present or not. The machine scores ``w0 + sum of w + sum over pairs of <v, v>`` of the
+buckets and present or not; two or three different words in one bucket are terms of their own. The machine scores ``w0 + sum of w + sum over pairs of <v, v>`` of the
 buckets present, so two terms together (an insult and whom it is aimed at) can say more than their weights
-added. It is fitted to the ``n_terms`` buckets that tell the classes apart best.
+added. It is fitted to the ``n_terms`` terms that tell the classes apart best
+(in at least ``MIN_TEXTS`` texts, by ``MIN_STRENGTH`` standard deviations).
 
 Bounds, as parameters: about ``sample`` labelled texts (by a hash of the id, all if there are fewer),
-``n_terms`` buckets, ``FACTORS`` numbers per bucket. Scoring reads whole texts.
+``n_terms`` terms, ``FACTORS`` numbers each. Scoring reads whole texts.
 
 Edge cases: a null or empty text has no terms and gets the score of the constant alone; a null label is no
 label; several labels of an id all count, scores do not use them; without any labels
@@ -16,7 +17,9 @@ every score is 0; an empty table gives an empty result; extra columns are ignore
 from __future__ import annotations
 
 import zlib
+from collections import Counter
 from collections.abc import Iterator
+from itertools import chain
 
 import numpy as np
 import pandas as pd
@@ -26,50 +29,63 @@ from pyspark.sql import functions as F
 from shelfwise.llm.common import is_held_out
 
 HASH_BITS = 20
+LEVELS = 3
 PREFIXES = (3, 4, 5, 6)
 SAMPLE = 12_000
 N_TERMS = 4096
+MIN_TEXTS = 4
+MIN_STRENGTH = 4.0
 FACTORS = 6
 EPOCHS = 250
 THRESHOLD = 0.7
 CACHE = 300_000
 
 
-def terms_of(token: str, letters) -> list[int]:
-    """Buckets of the words in a lower-case token and of their beginnings."""
-    out = []
-    for word in letters(token):
-        out += [zlib.crc32(f"^{word[:n]}".encode()) for n in PREFIXES if len(word) > n]
-        out.append(zlib.crc32(word.encode()))
-    return [x >> (32 - HASH_BITS) for x in out]
+def buckets_of(word: str) -> tuple[int, ...]:
+    """Buckets of a lower-case word and of its beginnings."""
+    terms = [f"^{word[:n]}" for n in PREFIXES if len(word) > n] + [word]
+    return tuple(zlib.crc32(t.encode()) >> (32 - HASH_BITS) for t in terms)
 
 
 class Terms:
-    """The (chosen) buckets of whole texts, with a bounded memory of tokens."""
+    """The (chosen) terms of whole texts, with a bounded memory of tokens.
+
+    A bucket that several different words of a text fall into counts as further terms, up to ``LEVELS``.
+    """
 
     def __init__(self, chosen: dict[int, int] | None = None):
         import regex
 
         self.letters = regex.compile(r"\p{L}+").findall
         self.chosen, self.seen = chosen, {}
-
-    def of_token(self, token: str) -> tuple[int, ...]:
-        own = terms_of(token, self.letters)
-        if self.chosen is not None:
-            own = [self.chosen[x] for x in own if x in self.chosen]
+        self.wanted = None if chosen is None else {t // LEVELS for t in chosen}
+
+    def of_token(self, token: str) -> dict[str, tuple[int, ...]]:
+        own = {}
+        for word in self.letters(token):
+            buckets = buckets_of(word)
+            if self.wanted is not None:
+                buckets = tuple(b for b in buckets if b in self.wanted)
+            if buckets:
+                own[word] = buckets
         if len(self.seen) >= CACHE:
             self.seen.clear()
         if len(token) <= 64:
-            self.seen[token] = tuple(own)
-        return tuple(own)
+            self.seen[token] = own
+        return own
 
-    def __call__(self, text: str | None) -> set[int]:
-        out: set[int] = set()
+    def __call__(self, text: str | None) -> list[int]:
+        words: dict[str, tuple[int, ...]] = {}
         seen = self.seen
         for token in set((text or "").lower().split()):
             own = seen.get(token)
-            out.update(self.of_token(token) if own is None else own)
-        return out
+            if own is None:
+                own = self.of_token(token)
+            if own:
+                words.update(own)
+        counts = Counter(chain.from_iterable(words.values()))
+        terms = sorted(b * LEVELS + level for b, n in counts.items() for level in range(min(n, LEVELS)))
+        return terms if self.chosen is None else [self.chosen[t] for t in terms if t in self.chosen]
 
 
 class Machine:
@@ -86,7 +102,7 @@ class Machine:
         return float(1 / (1 + np.exp(-np.clip(self.w0 + self.w[places].sum() + both, -30, 30))))
 
 
-def fit(rows: list[list[int]], labels: list[int], n_terms: int, epochs: int = EPOCHS, decay: float = 2e-4, rate: float = 0.02) -> tuple[float, np.ndarray, np.ndarray]:
+def fit(rows: list[list[int]], labels: list[int], n_terms: int, epochs: int = EPOCHS, decay: float = 0.3, rate: float = 0.02) -> tuple[float, np.ndarray, np.ndarray]:
     """Full-batch Adam on the logistic loss with decaying weights; the same input gives the same machine."""
     rows = [r or [n_terms] for r in rows]  # one idle bucket keeps empty rows in place
     flat = np.concatenate([np.array(r, np.int64) for r in rows])
@@ -94,6 +110,7 @@ def fit(rows: list[list[int]], labels: list[int], n_terms: int, epochs: int = EP
     of_row = np.repeat(np.arange(len(rows)), [len(r) for r in rows])
     y = np.array(labels, float)
     rng = np.random.default_rng(7)
+    decay /= len(rows)
     live = np.append(np.ones(n_terms), 0.0)
     w, v = np.zeros(n_terms + 1), rng.normal(0, 0.05, (n_terms + 1, FACTORS)) * live[:, None]
     w0 = float(np.log((y.mean() + 1e-3) / (1 - y.mean() + 1e-3)))
@@ -140,7 +157,7 @@ def learn(
     def terms(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
         of = Terms()
         for texts in batches:
-            yield texts.map(lambda t: sorted(of(t)))
+            yield texts.map(of)
 
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
     known = texts.where(draw).join(marks.where(draw), "doc_id").select("doc_id", "toxic", terms("text").alias("terms")).persist()
@@ -152,8 +169,9 @@ def learn(
     )
     share = F.col("n") / F.lit(float(n))
     gap = F.col("with_one") / F.lit(max(ones, 1.0)) - (F.col("n") - F.col("with_one")) / F.lit(max(n - ones, 1.0))
-    strength = F.abs(gap) / F.sqrt(share * (1 - share) + 1e-9)
-    best = held.where(F.col("n") >= min(3, n)).orderBy(F.desc(strength), "term").limit(n_terms).collect()
+    spread = F.sqrt(share * (1 - share) * (1 / max(ones, 1.0) + 1 / max(n - ones, 1.0)) + 1e-12)
+    strength = F.abs(gap) / spread  # standard deviations
+    best = held.where((F.col("n") >= MIN_TEXTS) & (strength >= MIN_STRENGTH)).orderBy(F.desc(strength), "term").limit(n_terms).collect()
     chosen = {r["term"]: i for i, r in enumerate(best)}
     wanted = F.array(*[F.lit(t) for t in chosen]) if chosen else F.array().cast("array<int>")
     rows = known.select("doc_id", "toxic", F.array_intersect("terms", wanted).alias("terms")).orderBy("doc_id", "toxic").collect()
@@ -171,7 +189,7 @@ def score(docs: DataFrame, machine: Machine, id_col: str = "doc_id", text_col: s
         own = shared.value
         of = Terms(own.chosen)
         for texts in batches:
-            yield texts.map(lambda t: own.score(sorted(of(t))))
+            yield texts.map(lambda t: own.score(of(t)))
 
     slim = docs.select(F.col(id_col).alias("doc_id"), judge(F.col(text_col)).alias("score"))
     return slim.select(
