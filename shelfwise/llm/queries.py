@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfwise.llm import bpe, langid, minhash, mixing, pii, secret_scan, toxicity
+from shelfwise.llm import bpe, langid, minhash, mixing, pii, secret_scan, spotsigs, toxicity
 from shelfwise.llm.common import documents
 from shelfwise.sources.bindings import table
 
@@ -35,6 +35,11 @@ def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.scan(documents(spark, sf_dir))
 
 
+def op8_spotsigs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Fingerprint of every document and its likeness to an edited copy and to the next document."""
+    return spotsigs.fingerprints(documents(spark, sf_dir))
+
+
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity score of every document."""
     docs = documents(spark, sf_dir)
@@ -52,6 +57,7 @@ QUERIES = {
     "op4_secrets": op4_secrets,
     "op5_source_mix": op5_source_mix,
     "op7_pii": op7_pii,
+    "op8_spotsigs": op8_spotsigs,
     "op9_toxicity": op9_toxicity,
     "op10_byte_bpe": op10_byte_bpe,
 }
