@@ -1,21 +1,60 @@
-"""The training-data pipeline as named stages; each stage's rows are written and read by the next."""
+"""The training-data pipeline as named stages; each stage's rows are written and read by the next.
+
+Every stage but the last returns the columns of ``documents``: texts of no known language go and ``lang`` becomes
+the predicted one; one document of each near-duplicate group stays; personal data is replaced in the texts;
+documents come as often as the mix of sources takes them; the last stage gives the token ids of what is left.
+
+Edge cases are those of the operators (see their modules): null and empty texts go at the first stage, since they have
+no letter; null ids, null sources, repeated rows and empty tables pass through all stages.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from shelfwise.llm import bpe
+from shelfwise.llm import bpe, langid, minhash, mixing, pii
 from shelfwise.llm.common import documents, stored
 
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+SHINGLE_WORDS = 5
+PERCENT = 80
+
+
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents in a known language, named by prediction."""
+    return langid.keep_known(docs.select(*COLUMNS))
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each near-duplicate group."""
+    return minhash.without_copies(docs.select(*COLUMNS), width=SHINGLE_WORDS, percent=PERCENT)
+
+
+def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """All documents, personal data replaced by its kind."""
+    clean = pii.redact(docs.select(*COLUMNS))
+    return clean.withColumn("n_chars", F.char_length("text").cast("bigint")).select(*COLUMNS)
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Each document as often as the mix takes its words, to the nearest whole number."""
+    keyed = docs.select(F.xxhash64(*COLUMNS).alias("row"), *COLUMNS)
+    line, pieces = mixing.mix(keyed, id_col="row")
+    share = mixing.taken(line, pieces).groupBy("doc_id").agg((F.sum("taken") / F.sum("size")).alias("share"))
+    times = share.select(F.col("doc_id").alias("row"), F.floor(F.col("share") + 0.5).cast("int").alias("times"))
+    chosen = stored(times.where("times > 0"), "mix-times")
+    return keyed.join(chosen, "row").withColumn("again", F.explode(F.array_repeat(F.lit(0), F.col("times")))).select(*COLUMNS)
+
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every document that is left."""
-    return bpe.encode(docs).select("doc_id", "ids")
+    """doc_id, n_tokens, ids of every document that is left."""
+    return bpe.encode(docs).select("doc_id", F.size("ids").cast("bigint").alias("n_tokens"), "ids")
 
 
-STAGES = [("byte_bpe", tokens)]
+STAGES = [("language", language), ("near_dedup", near_dedup), ("personal_data", personal_data), ("mix", mix), ("byte_bpe", tokens)]
 
-#: Several stages cannot be expressed in SQL.
+#: The learned stages cannot be expressed in SQL; tests hold the run against a brute-force version.
 ORACLE_SQL = None
 
 

@@ -4,11 +4,16 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfwise.llm import bpe, langid, minhash, mixing, pii, secret_scan, spotsigs, toxicity
+from shelfwise.llm import bpe, hamming, langid, licences, minhash, mixing, pii, secret_scan, spotsigs, toxicity
 from shelfwise.llm.common import documents
 from shelfwise.sources.bindings import table
 
 
+def op1_licences(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Licence families of every document."""
+    return licences.scan(documents(spark, sf_dir))
+
+
 def op2_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate class of every document."""
     return minhash.classes(documents(spark, sf_dir))
@@ -30,6 +35,11 @@ def op5_source_mix(spark: SparkSession, sf_dir: str) -> DataFrame:
     return mixing.taken(line, mixed)
 
 
+def op6_hamming(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Nearest codes of every hundredth vector among all."""
+    return hamming.top_k(table(spark, sf_dir, "embeddings"))
+
+
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Personal data in every document."""
     return pii.scan(documents(spark, sf_dir))
@@ -52,10 +62,12 @@ def op10_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_licences": op1_licences,
     "op2_minhash": op2_minhash,
     "op3_language": op3_language,
     "op4_secrets": op4_secrets,
     "op5_source_mix": op5_source_mix,
+    "op6_hamming": op6_hamming,
     "op7_pii": op7_pii,
     "op8_spotsigs": op8_spotsigs,
     "op9_toxicity": op9_toxicity,
@@ -162,5 +174,17 @@ SELECT doc_id, size, source_size, target,
      + greatest(least(start + source_size + size, need) - start - source_size, 0)
      + greatest(least(start + 2 * source_size + size, need) - start - 2 * source_size, 0) AS BIGINT) AS taken
 FROM line
+""",
+    "op6_hamming": """
+WITH coded AS (
+  SELECT vec_id, list_transform(embedding, lambda x: coalesce(x > 0, false)) AS bits FROM embeddings
+  WHERE vec_id IS NOT NULL AND len(embedding) > 0),
+apart AS (
+  SELECT q.vec_id AS query_id, x.vec_id AS neighbour_id,
+    CAST(list_sum(list_transform(list_zip(q.bits, x.bits), lambda p: CAST(p[1] <> p[2] AS INT))) AS INT) AS distance
+  FROM coded q JOIN coded x ON q.vec_id % 100 = 0 AND q.vec_id <> x.vec_id),
+ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY query_id ORDER BY distance, neighbour_id) AS INT) AS rank FROM apart)
+SELECT query_id, rank, neighbour_id, distance FROM ranked WHERE rank <= 10
 """,
 }
