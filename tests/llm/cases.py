@@ -1,0 +1,75 @@
+"""Small tables with every odd row, and plain Python versions of what the operators must give."""
+
+import hashlib
+import re
+
+SCHEMA = "doc_id bigint, text string, lang string, source string, n_chars bigint, row int, key string, node bigint, size int"
+
+
+def rows(pairs, lang="en", source="s"):
+    """Documents of (id, text) with columns whose names the operators use themselves."""
+    return [(i, t, lang, source, None if t is None else len(t), 1, "k", 5, 3) for i, t in pairs]
+
+
+LONG = " ".join(f"word{i % 977}" for i in range(60_000))
+ODD = [
+    (1, "The quick brown fox jumps over the lazy dog and runs to the river."),
+    (2, "The quick brown fox jumps over the lazy dog and runs to the river."),
+    (3, None),
+    (4, ""),
+    (5, " \t\n "),
+    (6, "one"),
+    (7, "ONE"),
+    (None, "a row without id and some words of the text"),
+    (8, LONG),
+    (9, "x" * 100_000),
+    (10, "ça été über ÉÉ 😀 日本語 é     \x1c \x85 end"),
+    (11, "1" * 50_000),
+    (12, "<|endoftext|> 12.5% 'S I'll   \n\n  tabs\t\tand more"),
+    (2, "The quick brown fox jumps over the lazy dog and runs to the river."),
+    (13, "!!! ... ???"),
+]
+
+
+def frame(spark, pairs=ODD, **named):
+    return spark.createDataFrame(rows(pairs, **named), SCHEMA)
+
+
+def nothing(spark):
+    return spark.createDataFrame([], SCHEMA)
+
+
+def words(text):
+    return re.findall(r"[^\x20\x09-\x0D]+", text or "")
+
+
+def shingle_set(text, width):
+    found = [w.translate({c: c + 32 for c in range(65, 91)}) for w in words(text)]
+    if not found:
+        return frozenset()
+    if len(found) < width:
+        return frozenset([tuple(found)])
+    return frozenset(tuple(found[i : i + width]) for i in range(len(found) - width + 1))
+
+
+def near_classes(pairs, width=4, percent=80):
+    """doc_id -> (size of set, smallest linked id) by comparing all pairs."""
+    sets = {i: shingle_set(t, width) for i, t in pairs}
+    up = {i: i for i in sets}
+
+    def root(i):
+        while up[i] != i:
+            i = up[i]
+        return i
+
+    ids = sorted(sets)
+    for a in ids:
+        for b in ids:
+            if a < b and sets[a] and sets[b] and 100 * len(sets[a] & sets[b]) >= percent * len(sets[a] | sets[b]):
+                x, y = root(a), root(b)
+                up[max(x, y)] = min(x, y)
+    return {i: (len(sets[i]), root(i)) for i in ids}
+
+
+def sha(text):
+    return hashlib.sha256(text.encode()).hexdigest()
