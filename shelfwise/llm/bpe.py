@@ -1,8 +1,7 @@
 """Byte-level BPE encoding and decoding with the ``tokenizers`` library over Arrow batches.
 
 The merges come from a rank file (base64 token, rank). The library's BPE model works on text, so
-each byte of a piece is mapped to one printable character before it, and offsets count these
-characters, that is bytes. A text is cut at single blanks between two non-blank characters, where
+each byte of a piece is mapped to one printable character before it; offsets count bytes. A text is cut at single blanks between two non-blank characters, where
 every match of the pattern ends too, and each distinct chunk is encoded once and kept in a bounded
 cache. Decoding reverses the byte table per token and joins bytes, so a character that is split
 over tokens comes back whole; a lone part of one becomes U+FFFD in ``decoded text`` only.
@@ -111,10 +110,10 @@ class Codec:
     def encode_with_offsets(self, text: str) -> list[tuple[int, int, int]]:
         """(id, first byte, end byte) of each token."""
         out, at = [], 0
-        for piece in self.pieces(text):
-            shown = self._shown(piece)
-            out += [(t.id, at + t.offsets[0], at + t.offsets[1]) for t in self.model.tokenize(shown)]
-            at += len(shown)
+        for token in chain.from_iterable(self.model.tokenize(self._shown(piece)) for piece in self.pieces(text)):
+            end = at + len(self.token_bytes[token.id])
+            out.append((token.id, at, end))
+            at = end
         return out
 
     def decode_bytes(self, ids: list[int]) -> bytes:
