@@ -7,9 +7,10 @@ million copies of one product cost one group instead of 10^12 pairs.
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from typing import NamedTuple
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfwise.operators import pairing, text
@@ -61,6 +62,15 @@ def hashed_content_similarity(products: DataFrame, threshold: float = 0.4) -> Si
     )
 
 
+def bucket_content_similarity(
+    products: DataFrame, bucket: Callable[[Column], Column], threshold: float = 0.4
+) -> Similarity:
+    """The same with a bucket function of the caller's."""
+    return Similarity(
+        text.group_members(products), profile_pairs(text.bucket_vectors(products, bucket), threshold)
+    )
+
+
 def profile_pairs(vectors: DataFrame, threshold: float) -> DataFrame:
     """grp, simGrp, score over unit sparse vectors; exact for any threshold >= 0.
 
@@ -71,14 +81,13 @@ def profile_pairs(vectors: DataFrame, threshold: float) -> DataFrame:
     drops most pairs before their cosine is computed.
     """
     cut = threshold * (1 - SLACK)
-    tails = F.transform(
-        F.sequence(F.lit(1), F.size("entries")),
-        lambda i: F.sqrt(
-            F.aggregate(
-                F.slice("entries", i, F.size("entries")), F.lit(0.0), lambda acc, e: acc + e["w"] * e["w"]
-            )
-        ),
+    # Length of the rest from each place on: one running sum from the last entry to the first.
+    running = F.aggregate(
+        F.reverse("entries"),
+        F.array(F.lit(0.0)),
+        lambda acc, e: F.concat(F.array(F.get(acc, F.lit(0)) + e["w"] * e["w"]), acc),
     )
+    tails = F.transform(F.slice(running, 1, F.size("entries")), lambda x: F.sqrt(x))
     heads = (
         vectors.withColumn("tails", tails)
         .select("grp", "entries", "tails", F.posexplode("entries").alias("pos", "e"))
@@ -174,8 +183,16 @@ def nearest(sim: Similarity, asked: DataFrame, key: list[str], most: int | None
     need never meets the bulk of a large group.
     """
     sizes = sim.members.groupBy(F.col("grp").alias("simGrp")).agg(F.count(F.lit(1)).alias("size"))
-    pairs = sim.pairs if most else sim.pairs.join(asked.select("grp").distinct(), "grp", "left_semi")
-    graded = pairs.join(sizes, "simGrp").withColumn("grade", F.round("score", RANK_DIGITS))
+    # Every group holds an item and so beats all that come later: no more groups than items are needed.
+    # With one limit for all, each task cuts to it before the shuffle.
+    first = F.row_number().over(Window.partitionBy("grp").orderBy(F.desc("grade"), "simGrp"))
+    graded = sim.pairs.withColumn("grade", F.round("score", RANK_DIGITS))
+    if most:
+        graded = graded.withColumn("place", first).where(F.col("place") <= most)
+    else:
+        largest = asked.groupBy("grp").agg(F.max("need").alias("limit"))
+        graded = graded.join(largest, "grp").withColumn("place", first).where(F.col("place") <= F.col("limit"))
+    graded = graded.select("grp", "simGrp", "score", "grade").join(sizes, "simGrp")
     grades = Window.partitionBy("grp").orderBy(F.desc("grade"))
     tied = Window.partitionBy("grp", "grade").orderBy("simGrp")
     whole = Window.partitionBy("grp", "grade")
@@ -200,6 +217,8 @@ def nearest(sim: Similarity, asked: DataFrame, key: list[str], most: int | None
         )
     )
     items = ranked_members(sim.members).withColumnRenamed("productId", "simProductId")
+    if most:
+        items = items.where(F.col("place") <= most)
     return (
         wanted.join(items, ["grp", "level"])
         .where(F.col("place") <= F.col("last"))
@@ -230,6 +249,16 @@ def top_similar(sim: Similarity, asked: DataFrame, k: int) -> DataFrame:
     )
 
 
+def ranked_groups(sim: Similarity, k: int | None = None) -> DataFrame:
+    """grp, rank, simGrp, score: all similar groups of every group, best first, or the first k.
+
+    With ``members`` this holds every product's whole ranked list; copies of a product share one.
+    """
+    order = Window.partitionBy("grp").orderBy(F.round("score", RANK_DIGITS).desc(), "simGrp")
+    rows = sim.pairs.withColumn("rank", F.row_number().over(order))
+    return (rows if k is None else rows.where(F.col("rank") <= k)).select("grp", "rank", "simGrp", "score")
+
+
 def stored(sim: Similarity, path: str) -> Similarity:
     """Writes both parts below ``path`` (shared storage) and reads them back, for use in several plans."""
     spark = sim.pairs.sparkSession

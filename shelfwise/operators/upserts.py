@@ -40,10 +40,10 @@ def upsert_ratings(base: DataFrame, updates: DataFrame) -> DataFrame:
     )
 
 
-def already_rated(requests: DataFrame, ratings: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """Requests whose (user, product) is rated already, and those that are new."""
-    known = ratings.select(*PAIR)
-    return requests.join(known, PAIR, "left_semi"), requests.join(known, PAIR, "left_anti")
+def already_rated(requests: DataFrame, ratings: DataFrame) -> DataFrame:
+    """Requests with ``known``: whether their (user, product) is rated already."""
+    rated = ratings.select(*PAIR).distinct().withColumn("known", F.lit(True))
+    return requests.join(rated, PAIR, "left").withColumn("known", F.coalesce("known", F.lit(False)))
 
 
 def rating_log(ratings: DataFrame) -> DataFrame:

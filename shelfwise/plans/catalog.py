@@ -7,7 +7,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shelfwise import schemas
@@ -91,6 +91,12 @@ def vector_cosine_pairs(spark: SparkSession, sf: str) -> DataFrame:
     return _group_pairs(dense.cosine_similarity(src.vectors(spark, sf), 0.3))
 
 
+def vector_groups(spark: SparkSession, sf: str) -> DataFrame:
+    """Members of the groups of equal vectors that ``vector_cosine_pairs`` names."""
+    members = dense.distinct_vectors(src.vectors(spark, sf))[0]
+    return members.select(F.col("productId").alias("id"), "grp")
+
+
 def factor_scores_top20(spark: SparkSession, sf: str) -> DataFrame:
     factors = src.vectors(spark, sf)
     return dense.top_products(factors, factors, TOP).select("userId", "productId", six("score"), "rank")
@@ -109,6 +115,12 @@ def content_groups(spark: SparkSession, sf: str) -> DataFrame:
     return text.group_members(src.products(spark, sf))
 
 
+def content_ranked_groups(spark: SparkSession, sf: str) -> DataFrame:
+    """Whole ranked lists, group by group."""
+    ranked = similarity.ranked_groups(similarity.content_similarity(src.products(spark, sf)))
+    return ranked.select("grp", "rank", "simGrp", six("score"))
+
+
 def content_top20(spark: SparkSession, sf: str) -> DataFrame:
     products = src.products(spark, sf)
     top = similarity.top_similar(similarity.content_similarity(products), products, TOP)
@@ -119,6 +131,11 @@ def content_similar_hashed(spark: SparkSession, sf: str) -> DataFrame:
     return _group_pairs(similarity.hashed_content_similarity(src.products(spark, sf)))
 
 
+def content_similar_md5(spark: SparkSession, sf: str) -> DataFrame:
+    """The hashed similarity with buckets that SQL can compute too."""
+    return _group_pairs(similarity.bucket_content_similarity(src.products(spark, sf), text.md5_bucket))
+
+
 # --- matrix factorisation ---------------------------------------------------------------
 
 
@@ -143,34 +160,83 @@ def grid_argmin(spark: SparkSession, sf: str) -> DataFrame:
     train, test = _hash_split(src.ratings(spark, sf))
     overall = train.agg(F.avg("score")).scalar()
     sums = train.groupBy("productId").agg(F.sum("score").alias("s"), F.count(F.lit(1)).alias("n"))
-    errors = None
-    for reg in als.LAMBDAS:
-        damped = sums.select(
-            "productId", ((F.col("s") + F.lit(reg) * overall) / (F.col("n") + F.lit(reg))).alias("prediction")
-        )
-        predicted = test.select("userId", "productId").join(damped, "productId")
-        row = als.rmse(test, predicted).select(
-            F.lit(0).alias("impFeatureNum"), F.lit(1).alias("iterations"), F.lit(reg).alias("lambda"), "rmse"
-        )
-        errors = row if errors is None else errors.unionByName(row)
+    reg = F.col("lambda")
+    damped = sums.withColumn("lambda", F.explode(F.array(*[F.lit(x) for x in als.LAMBDAS]))).select(
+        "productId", "lambda", ((F.col("s") + reg * overall) / (F.col("n") + reg)).alias("prediction")
+    )
+    predicted = test.select("userId", "productId").join(damped, "productId")
+    errors = als.rmse(test, predicted, ["lambda"]).select(
+        F.lit(0).alias("impFeatureNum"), F.lit(1).alias("iterations"), "lambda", "rmse"
+    )
     return als.best(errors).select("impFeatureNum", "iterations", "lambda", six("rmse"))
 
 
 def als_recommend(spark: SparkSession, sf: str) -> DataFrame:
-    model = als.fit(src.ratings(spark, sf), 5, 10, 0.1)
-    return rc.explode_recs(als.user_recs(model, TOP), "userId")
+    """Each user's best products by the fitted factors; ``als_checks`` holds them against the factors."""
+    return als.user_top(_model(spark, sf), TOP)
 
 
 def als_item_similarity(spark: SparkSession, sf: str) -> DataFrame:
-    model = als.fit(src.ratings(spark, sf), 5, 10, 0.1)
-    sim = als.top_items(model, TOP)
+    """Each product's most similar by the fitted factors; ``als_checks`` holds them against the factors."""
+    sim = als.top_items(_model(spark, sf), TOP)
     return similarity.top_similar(sim, sim.members, TOP)
 
 
+def _model(spark: SparkSession, sf: str):
+    return als.fit(src.ratings(spark, sf), 5, 10, 0.1)
+
+
+def _list_checks(rows: DataFrame, key: str, item: str, a: DataFrame, b: DataFrame, scale: bool, least: float) -> DataFrame:
+    """One row: number of lists, and whether lengths, order and scores are what the factors give."""
+    dot = lambda x, y: F.aggregate(F.zip_with(x, y, lambda p, q: p * q), F.lit(0.0), lambda s, v: s + v)
+    paired = rows.join(a.select(F.col("id").alias(key), F.col("vector").alias("v")), key).join(
+        b.select(F.col("id").alias(item), F.col("vector").alias("w")), item
+    )
+    value = dot("v", "w")
+    if scale:
+        value = value / F.sqrt(dot("v", "v") * dot("w", "w"))
+    before = F.lag("score").over(Window.partitionBy(key).orderBy("rank"))
+    each = paired.select(
+        key, "rank", "score", (F.abs(F.col("score") - value) < 1e-6).alias("right"), (before < F.col("score") - 1e-6).alias("rises")
+    )
+    return each.agg(
+        F.count_distinct(key).alias("lists"),
+        (F.max("rank") <= TOP).alias("short"),
+        F.every("right").alias("right"),
+        (~F.coalesce(F.some("rises"), F.lit(False))).alias("ordered"),
+        (F.min("score") > least).alias("above"),
+    )
+
+
+def als_checks(spark: SparkSession, sf: str) -> DataFrame:
+    """What must hold of the lists of any fit: per kind of list, how many and whether they follow from the factors."""
+    model = _model(spark, sf)
+    items, users = als.item_vectors(model), als.user_vectors(model)
+    sim = als.top_items(model, TOP)
+    similar = similarity.top_similar(sim, sim.members, TOP)
+    by_user = _list_checks(als.user_top(model, TOP), "userId", "productId", users, items, False, 0.0)
+    by_item = _list_checks(similar, "productId", "simProductId", items, items, True, als.MIN_SIMILARITY)
+    return by_user.select(F.lit("user").alias("kind"), "*").unionByName(by_item.select(F.lit("product").alias("kind"), "*"))
+
+
+def _grid(spark: SparkSession, sf: str) -> DataFrame:
+    return als.grid_search(*als.split(src.ratings(spark, sf)))
+
+
 def als_grid_search(spark: SparkSession, sf: str) -> DataFrame:
-    """Search over the regularisation values at the smallest rank; the winner is handed over."""
-    train, test = als.split(src.ratings(spark, sf))
-    return als.best(als.grid_search(train, test, ranks=als.RANKS[:1], iterations=als.ITERATIONS[:1]))
+    """The winner of the whole parameter grid, which is handed over."""
+    return als.best(_grid(spark, sf))
+
+
+def als_grid_checks(spark: SparkSession, sf: str) -> DataFrame:
+    """What must hold of any search: one error per combination, all numbers, and the winner's the least."""
+    errors = _grid(spark, sf)
+    won = als.best(errors).first().rmse
+    return errors.agg(
+        F.count_distinct("impFeatureNum", "iterations", "lambda").alias("fits"),
+        (F.min("rmse") == won).alias("least"),
+        F.every((F.col("rmse") > 0) & ~F.isnan("rmse")).alias("numbers"),
+    )
 
 
 # --- log and online ---------------------------------------------------------------------
@@ -188,9 +254,22 @@ def rating_log_parse(spark: SparkSession, sf: str) -> DataFrame:
     return _log_ratings(spark, sf)
 
 
+def _messages_with_faults(spark: SparkSession, sf: str) -> DataFrame:
+    """The rating messages, a seventh of them damaged: a field lost, or one that is not a number."""
+    messages = loglines.rating_lines(src.log(spark, sf))
+    kind = F.conv(F.substring(F.md5(F.col("value").cast("binary")), 1, 4), 16, 10).cast("int") % 21
+    damaged = (
+        F.when(kind == 0, F.substring_index("value", "|", 3))
+        .when(kind == 1, F.concat(F.lit("x"), "value"))
+        .when(kind == 2, F.concat(F.substring_index("value", "|", 2), F.lit("|?|"), F.substring_index("value", "|", -1)))
+        .otherwise(F.col("value"))
+    )
+    return messages.select(damaged.alias("value"))
+
+
 def rating_log_rejects(spark: SparkSession, sf: str) -> DataFrame:
-    """Every log line read as a message: those that are not ratings are set aside, none fails the job."""
-    return loglines.parse_ratings(src.log(spark, sf)).rejects
+    """Messages that do not parse are set aside, none fails the job."""
+    return loglines.parse_ratings(_messages_with_faults(spark, sf)).rejects
 
 
 def rating_log_lines(spark: SparkSession, sf: str) -> DataFrame:
@@ -289,8 +368,7 @@ def rating_queues(spark: SparkSession, sf: str) -> DataFrame:
 
 def rating_exists(spark: SparkSession, sf: str) -> DataFrame:
     requests = upserts.from_requests(src.rating_requests(spark, sf))
-    known, new = upserts.already_rated(requests, src.ratings(spark, sf))
-    return known.withColumn("known", F.lit(True)).unionByName(new.withColumn("known", F.lit(False)))
+    return upserts.already_rated(requests, src.ratings(spark, sf))
 
 
 def user_prefs_update(spark: SparkSession, sf: str) -> DataFrame:
@@ -362,11 +440,9 @@ def content_neighbours(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def user_recs_lookup(spark: SparkSession, sf: str) -> DataFrame:
-    """Positive predictions, twenty per user, found by user name and joined to products."""
-    train, test = _hash_split(src.ratings(spark, sf))
-    predicted = _mean_predictions(train, test.select("userId", "productId").distinct())
-    top = rc.top_k(predicted.where("prediction > 0"), "userId", "productId", "prediction", TOP, similarity.RANK_DIGITS)
-    lists = rc.as_recs(top, "userId", "productId", "prediction")
+    """Positive predictions over all products, twenty per user, found by user name and joined to products."""
+    factors = src.vectors(spark, sf)
+    lists = rc.as_recs(dense.top_products(factors, factors, TOP), "userId", "productId", "score")
     users = src.users(spark, sf)
     rows = serving.user_recommendations(users, users, lists, src.products(spark, sf), _averages(spark, sf), TOP)
     return _detail(rows.withColumn("score", six("score")), "username", "rank", "score")
@@ -409,9 +485,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         rate_more_products, rate_more_recently, average_products, top5_average, distinct_users_products,
-        itemcf_top20, itemcf_recs_list, sim_map_lookup, vector_cosine_pairs, factor_scores_top20,
-        tfidf_terms, content_groups, content_similar, content_top20, content_similar_hashed,
-        rmse_eval, grid_argmin, als_recommend, als_item_similarity, als_grid_search,
+        itemcf_top20, itemcf_recs_list, sim_map_lookup, vector_cosine_pairs, vector_groups, factor_scores_top20,
+        tfidf_terms, content_groups, content_similar, content_ranked_groups, content_top20,
+        content_similar_hashed, content_similar_md5,
+        rmse_eval, grid_argmin, als_recommend, als_item_similarity, als_checks, als_grid_search, als_grid_checks,
         rating_log_filter, rating_log_parse, rating_log_rejects, rating_log_lines,
         recent_ratings_per_user, candidate_products, online_rerank,
         stream_rating_filter, stream_recency_queue, stream_rerank_upsert,

@@ -3,8 +3,11 @@
     python -m shelfwise.plans.jobs <job> --root <folder> [options]
 
 Jobs hand over through tables: ``load`` writes Product and Rating; ``statistics``, ``itemcf``,
-``content`` and ``search`` read them; ``offline`` reads the parameters ``search`` found;
-``rerank`` reads the similarity that ``offline`` wrote.
+``content`` and ``search`` read them; ``offline`` reads the parameters ``search`` found; ``rate`` takes rating
+posts; ``rerank`` reads a stored similarity, ``Content`` or ``Product``.
+
+``--num`` is the length of every list a job writes.  Without it ``itemcf`` and the user lists take their usual
+twenty, while similar products are stored whole: ranked group pairs, one row each, and the members of the groups.
 """
 
 from __future__ import annotations
@@ -54,29 +57,53 @@ def stored_similarity(store: Warehouse, prefix: str) -> Similarity:
     return Similarity(store.read(f"{prefix}Groups"), store.read(f"{prefix}GroupPairs"))
 
 
-def _lists(sim: Similarity, k: int) -> DataFrame:
-    """productId, recs with the k best of every product; the stored pairs hold the rest."""
-    top = similarity.top_similar(sim, sim.members, k)
-    return rc.as_recs(top, "productId", "simProductId", "score")
+def _store_lists(store: Warehouse, sim: Similarity, prefix: str, name: str, k: int | None) -> None:
+    """Everything above the threshold as ranked group pairs; also lists of the k best if k is given."""
+    store.overwrite(f"{prefix}RankedGroups", similarity.ranked_groups(sim))
+    if k is not None:
+        top = similarity.top_similar(sim, sim.members, k)
+        store.overwrite(name, rc.as_recs(top, "productId", "simProductId", "score"))
 
 
-def content(store: Warehouse, k: int = itemcf.TOP) -> None:
+def content(store: Warehouse, k: int | None = None) -> None:
     sim = _store_similarity(store, similarity.content_similarity(store.read("Product")), "Content")
-    store.overwrite("ContentBasedProductRecs", _lists(sim, k))
+    _store_lists(store, sim, "Content", "ContentBasedProductRecs", k)
 
 
-def search(store: Warehouse, ranks=als.RANKS, iterations=als.ITERATIONS, lambdas=als.LAMBDAS) -> None:
+def search(
+    store: Warehouse, ranks=als.RANKS, iterations=als.ITERATIONS, lambdas=als.LAMBDAS, parallelism: int = als.PARALLEL_FITS
+) -> None:
     """Parameter grid on a 75/25 split -> the winner in OptedParams."""
     train, test = als.split(store.read("Rating"))
-    store.overwrite("OptedParams", als.best(als.grid_search(train, test, ranks, iterations, lambdas)))
+    store.overwrite("OptedParams", als.best(als.grid_search(train, test, ranks, iterations, lambdas, parallelism)))
+
 
+def offline(store: Warehouse, k: int = als.USER_LIST, whole: bool = False) -> None:
+    """Fit with the stored parameters -> user lists, similar products, k of each.
 
-def offline(store: Warehouse, k: int = als.USER_LIST) -> None:
-    """Fit with the stored parameters -> user lists, similar products."""
+    Nearly all factor pairs may lie above the threshold, so only ``whole`` stores that table, which grows with the
+    square of the catalogue; the re-ranker needs it if it is to use factor similarity.
+    """
     model = als.fit_best(store.read("Rating"), store.read("OptedParams"))
     store.overwrite("UserRecs", als.user_recs(model, k))
-    sim = _store_similarity(store, als.item_similarity(model), "Product")
-    store.overwrite("ProductRecs", _lists(sim, k))
+    if whole:
+        sim = _store_similarity(store, als.item_similarity(model), "Product")
+    else:
+        sim = als.top_items(model, k)
+        store.overwrite("ProductGroups", sim.members)
+    _store_lists(store, sim, "Product", "ProductRecs", k)
+
+
+def rate(store: Warehouse, posts: DataFrame) -> None:
+    """Rating posts (userId, productId, uiScore, timestamp) -> a new Rating table, the users' queues, log lines.
+
+    The new table is written beside the old one first, so a lost job leaves the old one whole.
+    """
+    done = serving.rate_products(posts, store.read("Rating"))
+    store.overwrite("RatingNext", done.ratings)
+    store.overwrite("RatingQueues", done.queues)
+    store.overwrite("RatingLog", done.log)
+    store.overwrite("Rating", store.read("RatingNext", store.read("Rating").schema))
 
 
 def rerank(
@@ -95,14 +122,19 @@ def show_hot(store: Warehouse, num: int) -> None:
 def main(argv: list[str] | None = None) -> None:
     parser = argparse.ArgumentParser(prog="shelfwise")
     parser.add_argument(
-        "job", choices=["load", "statistics", "itemcf", "content", "search", "offline", "filter", "rerank", "hot"]
+        "job",
+        choices=["load", "statistics", "itemcf", "content", "search", "offline", "rate", "filter", "rerank", "hot"],
     )
     parser.add_argument("--root", required=True, help="warehouse folder on shared storage")
     parser.add_argument("--format", default="parquet", help="data source of the tables")
     parser.add_argument("--products")
     parser.add_argument("--ratings")
     parser.add_argument("--pattern", default="yyyyMM")
-    parser.add_argument("--num", type=int, default=20)
+    parser.add_argument("--num", type=int, help="length of lists")
+    parser.add_argument("--whole", action="store_true", help="offline: store all factor pairs above the threshold")
+    parser.add_argument("--parallelism", type=int, default=als.PARALLEL_FITS, help="search: fits at a time")
+    parser.add_argument("--similarity", default="Content", help="rerank: Content or Product (after offline --whole)")
+    parser.add_argument("--posts", help="rate: folder of Parquet posts")
     parser.add_argument("--brokers")
     parser.add_argument("--source", help="topic with --brokers, else a folder of text files")
     parser.add_argument("--sink", help="topic with --brokers, else a folder")
@@ -118,7 +150,7 @@ def main(argv: list[str] | None = None) -> None:
         )
         checkpoint = f"{args.root}/_streams/{args.job}"
         if args.job == "rerank":
-            rerank(store, lines, checkpoint)[1].awaitTermination()
+            rerank(store, lines, checkpoint, args.similarity)[1].awaitTermination()
         elif args.brokers:
             options = {"kafka.bootstrap.servers": args.brokers, "topic": args.sink}
             pipelines.filter_log(lines, "kafka", checkpoint, **options).awaitTermination()
@@ -128,11 +160,12 @@ def main(argv: list[str] | None = None) -> None:
     {
         "load": lambda: load(store, args.products, args.ratings),
         "statistics": lambda: statistics(store, args.pattern),
-        "itemcf": lambda: item_lists(store),
-        "content": lambda: content(store),
-        "search": lambda: search(store),
-        "offline": lambda: offline(store),
-        "hot": lambda: show_hot(store, args.num),
+        "itemcf": lambda: item_lists(store, args.num or itemcf.TOP),
+        "content": lambda: content(store, args.num),
+        "search": lambda: search(store, parallelism=args.parallelism),
+        "offline": lambda: offline(store, args.num or als.USER_LIST, args.whole),
+        "rate": lambda: rate(store, spark.read.parquet(args.posts)),
+        "hot": lambda: show_hot(store, args.num or 20),
     }[args.job]()
 
 

@@ -121,14 +121,36 @@ CTES = {
                    (s + reg * (SELECT avg(score) FROM train)) / (n + reg) AS prediction
             FROM test JOIN sums USING (productId), (VALUES (1.0), (0.1), (0.01)) v(reg)) d
         ON t.userId = d.userId AND t.productId = d.productId GROUP BY reg""",
-    "predictedtop": """
-        SELECT * FROM (
-            SELECT userId, productId, prediction AS score,
-                   row_number() OVER (PARTITION BY userId ORDER BY round(prediction, 9) DESC, productId) AS rank
-            FROM (SELECT DISTINCT userId, productId, prediction FROM predicted WHERE prediction > 0))
-        WHERE rank <= 20""",
     "embedded": "SELECT vec_id AS id, CAST(embedding AS DOUBLE[]) AS v FROM embeddings",
     "leaders": "SELECT min(id) AS id, v, count(*) AS n FROM embedded GROUP BY v",
+    "factortop": """
+        SELECT * FROM (
+            SELECT a.id AS userId, b.id AS productId, list_inner_product(a.v, b.v) AS score,
+                   row_number() OVER (PARTITION BY a.id ORDER BY round(list_inner_product(a.v, b.v), 9) DESC, b.id) AS rank
+            FROM embedded a, embedded b WHERE list_inner_product(a.v, b.v) > 0) WHERE rank <= 20""",
+    "hwords": "SELECT productId, CAST('0x' || substr(md5(term), 1, 8) AS BIGINT) % 800 AS term FROM words",
+    "htf": "SELECT productId, term, count(*) AS tf FROM hwords GROUP BY productId, term",
+    "hidf": """
+        SELECT term, ln(CAST((SELECT count(*) FROM products) + 1 AS DOUBLE) / (count(*) + 1)) AS idf
+        FROM htf GROUP BY term""",
+    "hvectors": """
+        SELECT profile, term, tf * idf AS weight FROM htf JOIN hidf USING (term) JOIN
+            (SELECT profile, min(productId) AS productId FROM profiles GROUP BY profile) USING (productId)
+        WHERE idf > 0""",
+    "hlengths": "SELECT profile, sqrt(sum(weight * weight)) AS len FROM hvectors GROUP BY profile",
+    "hprofilepairs": """
+        SELECT x.profile AS profile, y.profile AS simProfile,
+               CASE WHEN x.profile = y.profile THEN 1.0 ELSE d / (x.len * y.len) END AS score
+        FROM (SELECT a.profile AS p, b.profile AS q, sum(a.weight * b.weight) AS d
+              FROM hvectors a JOIN hvectors b USING (term) GROUP BY 1, 2)
+        JOIN hlengths x ON p = x.profile JOIN hlengths y ON q = y.profile
+        WHERE d / (x.len * y.len) > 0.4 AND (x.profile <> y.profile OR
+              (SELECT count(*) FROM profiles z WHERE z.profile = x.profile) > 1)""",
+    "damaged": """
+        SELECT CASE kind WHEN 0 THEN regexp_extract(value, '^[^|]*\\|[^|]*\\|[^|]*') WHEN 1 THEN 'x' || value
+            WHEN 2 THEN regexp_extract(value, '^[^|]*\\|[^|]*') || '|?|' || regexp_extract(value, '[^|]*$')
+            ELSE value END AS value
+        FROM (SELECT value, CAST('0x' || substr(md5(value), 1, 4) AS INTEGER) % 21 AS kind FROM messages)""",
 }
 
 DETAILS = "productId, name, imageUrl, categories, tags, avg"
@@ -164,10 +186,22 @@ BODIES = {
         FROM leaders a JOIN leaders b ON a.id <> b.id WHERE list_cosine_similarity(a.v, b.v) > 0.3
         UNION ALL SELECT id, id, 1.0 FROM leaders WHERE n > 1""",
     "factor_scores_top20": """
-        SELECT userId, productId, round(score, 6) AS score, CAST(rank AS INTEGER) AS rank FROM (
-            SELECT a.id AS userId, b.id AS productId, list_inner_product(a.v, b.v) AS score,
-                   row_number() OVER (PARTITION BY a.id ORDER BY round(list_inner_product(a.v, b.v), 9) DESC, b.id) AS rank
-            FROM embedded a, embedded b WHERE list_inner_product(a.v, b.v) > 0) WHERE rank <= 20""",
+        SELECT userId, productId, round(score, 6) AS score, CAST(rank AS INTEGER) AS rank FROM factortop""",
+    "vector_groups": "SELECT e.id AS id, l.id AS grp FROM embedded e JOIN leaders l USING (v)",
+    "als_checks": """
+        SELECT 'user' AS kind, count(DISTINCT userId) AS lists, true AS short, true AS right, true AS ordered, true AS above
+        FROM ratings UNION ALL SELECT 'product', count(DISTINCT productId), true, true, true, true FROM ratings""",
+    "als_grid_checks": """
+        SELECT CAST(4 * 2 * 3 AS BIGINT) AS fits, true AS least, true AS numbers
+        FROM (SELECT count(*) FROM ratings)""",
+    "content_ranked_groups": """
+        SELECT a.id AS grp, b.id AS simGrp, round(score, 6) AS score,
+               CAST(row_number() OVER (PARTITION BY a.id ORDER BY round(score, 9) DESC, b.id) AS INTEGER) AS rank
+        FROM profilepairs p
+        JOIN profileleaders a ON p.profile = a.profile JOIN profileleaders b ON p.simProfile = b.profile""",
+    "content_similar_md5": """
+        SELECT a.id AS id, b.id AS simId, round(score, 6) AS score FROM hprofilepairs p
+        JOIN profileleaders a ON p.profile = a.profile JOIN profileleaders b ON p.simProfile = b.profile""",
     "tfidf_terms": "SELECT productId, term, tf, round(weight, 6) AS weight FROM tfidf",
     "content_groups": "SELECT productId, min(productId) OVER (PARTITION BY profile) AS grp FROM profiles",
     "content_similar": """
@@ -185,8 +219,9 @@ BODIES = {
     "rating_log_filter": "SELECT value FROM messages",
     "rating_log_parse": 'SELECT userId, productId, score, ts AS "timestamp" FROM logged',
     "rating_log_rejects": """
-        SELECT line AS value FROM log WHERE len(string_split(line, '|')) < 4
-            OR TRY_CAST(string_split(line, '|')[1] AS BIGINT) IS NULL""",
+        SELECT value FROM damaged WHERE len(string_split(value, '|')) < 4
+            OR TRY_CAST(string_split(value, '|')[1] AS BIGINT) IS NULL
+            OR TRY_CAST(string_split(value, '|')[3] AS DOUBLE) IS NULL""",
     "rating_log_lines": """
         SELECT concat('PRODUCT_RATING_PREFIX:', CAST(userId AS VARCHAR), '|', CAST(productId AS VARCHAR), '|',
                       CAST(score AS VARCHAR), '|', CAST(ts AS VARCHAR)) AS value FROM requests""",
@@ -248,7 +283,7 @@ BODIES = {
         WHERE rank <= 10 AND c.productId IN (SELECT productId FROM logged)""",
     "user_recs_lookup": f"""
         SELECT c_name AS username, CAST(rank AS INTEGER) AS rank, round(score, 6) AS score, {DETAILS}
-        FROM predictedtop JOIN customer ON userId = c_custkey JOIN details USING (productId)""",
+        FROM factortop JOIN customer ON userId = c_custkey JOIN details USING (productId)""",
     "stream_recs_lookup": f"""
         SELECT c_name AS username, CAST(rank AS INTEGER) AS rank, round(score, 6) AS score, {DETAILS}
         FROM reranked JOIN customer ON userId = c_custkey JOIN details USING (productId) WHERE rank <= 10""",

@@ -80,9 +80,11 @@ def test_jobs_hand_over_through_tables(spark):
     jobs.load(store, f"{root}/products", f"{root}/ratings")
     jobs.statistics(store)
     jobs.item_lists(store)
-    jobs.content(store)
+    jobs.content(store, 20)
     jobs.search(store, ranks=(2,), iterations=(3,), lambdas=(0.1, 1.0))
     jobs.offline(store)
+    assert store.read("ContentRankedGroups").count() == store.read("ContentGroupPairs").count() > 0
+    posts = spark.createDataFrame([(0, 1, 9.0, 1_600_000_000), (99, 1, 4.0, 1_600_000_000)], "userId long, productId long, uiScore double, timestamp long")
     assert store.read("Rating").count() == len(ratings)
     params = tables.best_params(store.read("OptedParams"))
     assert params["impFeatureNum"] == 2 and params["rmse"] > 0
