@@ -17,21 +17,23 @@ import argparse
 from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
+from shelfwise import schemas
 from shelfwise.operators import als, itemcf, similarity, stats
 from shelfwise.operators import recs as rc
 from shelfwise.operators.similarity import Similarity
 from shelfwise.plans import serving
 from shelfwise.session import build_session
 from shelfwise.sources import files, streams
-from shelfwise.sources.tables import Warehouse
+from shelfwise.sources.tables import BUCKETS, Warehouse
 from shelfwise.streaming import pipelines
+from shelfwise.streaming.keyed_table import KeyedTable
 
 
-def load(store: Warehouse, products_path: str, ratings_path: str) -> None:
+def load(store: Warehouse, products_path: str, ratings_path: str, buckets: int = BUCKETS) -> None:
     """Text files -> Product and Rating; lines that do not parse go to the reject tables."""
     products = files.read_products(store.spark, products_path)
     ratings = files.read_ratings(store.spark, ratings_path)
-    store.load(products.rows, ratings.rows)
+    store.load(products.rows, ratings.rows, buckets)
     store.overwrite("ProductRejects", products.rejects)
     store.overwrite("RatingRejects", ratings.rejects)
 
@@ -94,7 +96,7 @@ def offline(store: Warehouse, k: int = als.USER_LIST, whole: bool = False) -> No
     _store_lists(store, sim, "Product", "ProductRecs", k)
 
 
-def rate(store: Warehouse, posts: DataFrame) -> None:
+def rate(store: Warehouse, posts: DataFrame, buckets: int = BUCKETS) -> None:
     """Rating posts (userId, productId, uiScore, timestamp) -> a new Rating table, the users' queues, log lines.
 
     The new table is written beside the old one first, so a lost job leaves the old one whole.
@@ -103,13 +105,21 @@ def rate(store: Warehouse, posts: DataFrame) -> None:
     store.overwrite("RatingNext", done.ratings)
     store.overwrite("RatingQueues", done.queues)
     store.overwrite("RatingLog", done.log)
-    store.overwrite("Rating", store.read("RatingNext", store.read("Rating").schema))
+    store.overwrite_ratings(store.read("RatingNext", schemas.RATING), buckets)
+
+
+def stream_recs(store: Warehouse) -> KeyedTable:
+    """StreamRecs: what the re-ranker writes and look-ups read (``.read()``, or ``.read(users)``)."""
+    return KeyedTable(store.spark, store.path("StreamRecs"), schemas.USER_RECS, "userId")
 
 
 def rerank(
-    store: Warehouse, messages: DataFrame, root: str, prefix: str = "Product", every: str | None = "2 seconds"
+    store: Warehouse, messages: DataFrame, root: str, prefix: str = "Content", every: str | None = "2 seconds",
+    buckets: int = BUCKETS,
 ) -> tuple[pipelines.Reranker, StreamingQuery]:
-    job = pipelines.Reranker(store.spark, store.read("Rating"), stored_similarity(store, prefix), root)
+    """Ratings are read by user bucket (``buckets`` as given to ``load``); lists go to StreamRecs."""
+    sim = stored_similarity(store, prefix)
+    job = pipelines.Reranker(store.spark, store.ratings_by_user(), sim, root, buckets, stream_recs(store))
     return job, job.start(messages, f"{root}/checkpoint", every)
 
 
@@ -134,6 +144,7 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--whole", action="store_true", help="offline: store all factor pairs above the threshold")
     parser.add_argument("--parallelism", type=int, default=als.PARALLEL_FITS, help="search: fits at a time")
     parser.add_argument("--similarity", default="Content", help="rerank: Content or Product (after offline --whole)")
+    parser.add_argument("--buckets", type=int, default=BUCKETS, help="load, rate, rerank: user folders of Rating")
     parser.add_argument("--posts", help="rate: folder of Parquet posts")
     parser.add_argument("--brokers")
     parser.add_argument("--source", help="topic with --brokers, else a folder of text files")
@@ -150,7 +161,7 @@ def main(argv: list[str] | None = None) -> None:
         )
         checkpoint = f"{args.root}/_streams/{args.job}"
         if args.job == "rerank":
-            rerank(store, lines, checkpoint, args.similarity)[1].awaitTermination()
+            rerank(store, lines, checkpoint, args.similarity, buckets=args.buckets)[1].awaitTermination()
         elif args.brokers:
             options = {"kafka.bootstrap.servers": args.brokers, "topic": args.sink}
             pipelines.filter_log(lines, "kafka", checkpoint, **options).awaitTermination()
@@ -158,13 +169,13 @@ def main(argv: list[str] | None = None) -> None:
             pipelines.filter_log(lines, "text", checkpoint, path=args.sink).awaitTermination()
         return
     {
-        "load": lambda: load(store, args.products, args.ratings),
+        "load": lambda: load(store, args.products, args.ratings, args.buckets),
         "statistics": lambda: statistics(store, args.pattern),
         "itemcf": lambda: item_lists(store, args.num or itemcf.TOP),
         "content": lambda: content(store, args.num),
         "search": lambda: search(store, parallelism=args.parallelism),
         "offline": lambda: offline(store, args.num or als.USER_LIST, args.whole),
-        "rate": lambda: rate(store, spark.read.parquet(args.posts)),
+        "rate": lambda: rate(store, spark.read.parquet(args.posts), args.buckets),
         "hot": lambda: show_hot(store, args.num or 20),
     }[args.job]()
 

@@ -11,7 +11,7 @@ from pyspark.sql.types import StructType
 from shelfwise import schemas
 
 USER_BUCKET = "userBucket"
-BUCKETS = 1024
+BUCKETS = 64
 
 
 class Warehouse:
@@ -25,17 +25,25 @@ class Warehouse:
 
     def read(self, name: str, schema: StructType | None = None) -> DataFrame:
         layout = schema or schemas.TABLES[name]
-        return (
-            self.spark.read.schema(layout).format(self.fmt).options(**self.options).load(self.path(name))
-        )
+        return self._scan(name, layout).select(*layout.fieldNames())
+
+    def _scan(self, name: str, layout: StructType) -> DataFrame:
+        return self.spark.read.schema(layout).format(self.fmt).options(**self.options).load(self.path(name))
+
+    def ratings_by_user(self) -> DataFrame:
+        """The rating table with ``userBucket``, for reading a few users' folders only."""
+        return self._scan("Rating", schemas.RATING)
 
     def overwrite(self, name: str, rows: DataFrame) -> None:
         rows.write.mode("overwrite").format(self.fmt).options(**self.options).save(self.path(name))
 
-    def load(self, products: DataFrame, ratings: DataFrame) -> None:
-        """First load: both base tables, replacing what was there."""
+    def load(self, products: DataFrame, ratings: DataFrame, buckets: int = BUCKETS) -> None:
+        """First load: both base tables, replacing what was there; ratings in folders by user bucket."""
         self.overwrite("Product", products)
-        self.overwrite("Rating", ratings)
+        self.overwrite_ratings(ratings, buckets)
+
+    def overwrite_ratings(self, ratings: DataFrame, buckets: int = BUCKETS) -> None:
+        save_by_user(ratings, self.path("Rating"), buckets, self.fmt, **self.options)
 
     def register(self, *names: str) -> None:
         """Make stored tables queryable by name in SQL."""
@@ -47,12 +55,12 @@ def with_user_bucket(rows: DataFrame, buckets: int = BUCKETS) -> DataFrame:
     return rows.withColumn(USER_BUCKET, F.pmod(F.xxhash64("userId"), F.lit(buckets)).cast("int"))
 
 
-def save_by_user(ratings: DataFrame, path: str, buckets: int = BUCKETS) -> None:
+def save_by_user(ratings: DataFrame, path: str, buckets: int = BUCKETS, fmt: str = "parquet", **options: str) -> None:
     """Ratings in folders by user bucket, so that reading a few users opens a few folders."""
     rows = with_user_bucket(ratings, buckets)
     # A bucket with a very active user is spread over several files.
     spread = rows.repartition(F.col(USER_BUCKET), F.pmod(F.xxhash64("productId"), F.lit(8)))
-    spread.write.mode("overwrite").partitionBy(USER_BUCKET).parquet(path)
+    spread.write.mode("overwrite").partitionBy(USER_BUCKET).format(fmt).options(**options).save(path)
 
 
 def save_bucketed(rows: DataFrame, name: str, key: str, buckets: int) -> None:

@@ -1,43 +1,116 @@
-"""A table whose rows are replaced by key, fed by micro-batches.
+"""Tables that micro-batches write, with a bounded number of files to read whatever the stream's age.
 
-Every batch writes only its own rows, under ``batch_id=<n>``; a replayed batch
-overwrites its own folder, so a restart changes nothing.  Readers take the newest
-row of each key.  The cost of a batch follows the batch, not the table.
+Every batch writes only its own rows, under ``open/batch_id=<n>``; a replayed batch overwrites its own folder.
+Once ``fold_every`` batches are open, the next batch first folds them into a new ``base/upto=<n>``, cut into
+folders by key bucket.  Readers take the newest complete base and the open batches after it, so a
+batch reads at most ``fold_every`` open folders and, of the base, the buckets it asks for.  A batch that is replayed
+after a fold that holds it changes nothing, because open folders up to the base's number are not read.
+
+The base before the newest is kept for readers that still use it; older ones and the batches in them are removed.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.types import LongType, StructType
 
+FOLD_EVERY = 32
+BUCKET = "bucket"
+BUCKETS = 64
+
 
-class KeyedTable:
-    def __init__(self, spark: SparkSession, path: str, schema: StructType, key: str):
+class _Batches:
+    """Rows of all batches, by key bucket once folded."""
+
+    def __init__(
+        self, spark: SparkSession, path: str, schema: StructType, key: str,
+        fold_every: int = FOLD_EVERY, buckets: int = BUCKETS,
+    ):
         self.spark, self.path, self.schema, self.key = spark, path, schema, key
-        # An empty first version, so the table can be read before any batch.
-        spark.createDataFrame([], schema).write.mode("overwrite").parquet(f"{path}/batch_id=-1")
+        self.fold_every, self.buckets = fold_every, buckets
+
+    def _numbers(self, pattern: str) -> list[int]:
+        """Numbers of the complete folders that match; two bases and twice ``fold_every`` batches at most."""
+        jvm = self.spark._jvm
+        where = jvm.org.apache.hadoop.fs.Path(f"{self.path}/{pattern}=*/_SUCCESS")
+        found = where.getFileSystem(self.spark._jsc.hadoopConfiguration()).globStatus(where) or []
+        return sorted(int(f.getPath().getParent().getName().split("=")[1]) for f in found)
+
+    def _remove(self, folder: str) -> None:
+        where = self.spark._jvm.org.apache.hadoop.fs.Path(f"{self.path}/{folder}")
+        where.getFileSystem(self.spark._jsc.hadoopConfiguration()).delete(where, True)
+
+    def _bucket(self) -> Column:
+        return F.pmod(F.xxhash64(self.key), F.lit(self.buckets)).cast("int")
 
     def replace(self, rows: DataFrame, batch_id: int) -> None:
-        """Rows of a batch, at most one per key."""
-        columns = self.schema.fieldNames()
-        rows.select(*columns).write.mode("overwrite").parquet(f"{self.path}/batch_id={batch_id}")
+        """Rows of a batch."""
+        if len(self._open(batch_id)) >= self.fold_every:
+            self._fold(batch_id - 1)
+        rows.select(*self.schema.fieldNames()).write.mode("overwrite").parquet(f"{self.path}/open/batch_id={batch_id}")
 
     def batch(self, batch_id: int) -> DataFrame:
-        return self.spark.read.schema(self.schema).parquet(f"{self.path}/batch_id={batch_id}")
+        return self.spark.read.schema(self.schema).parquet(f"{self.path}/open/batch_id={batch_id}")
+
+    def _base(self) -> int:
+        return max(self._numbers("base/upto"), default=-1)
+
+    def _open(self, before: int | None = None) -> list[int]:
+        base = self._base()
+        return [n for n in self._numbers("open/batch_id") if n > base and (before is None or n < before)]
 
-    def history(self) -> DataFrame:
+    def history(self, keys: DataFrame | None = None, upto: int | None = None) -> DataFrame:
+        """All rows with batch_id, of the given keys (a table of them) and of batches up to a number if given."""
         layout = StructType([*self.schema.fields]).add("batch_id", LongType())
-        return self.spark.read.schema(layout).parquet(self.path)
+        base, open_ = self._base(), self._open(None if upto is None else upto + 1)
+        parts = []
+        if base >= 0:
+            rows = self.spark.read.schema(layout).parquet(f"{self.path}/base/upto={base}")
+            if keys is not None:
+                # Run-time pruning is only planned for a side with a comparison in its filter.
+                asked = keys.select(self.key).distinct().withColumn(BUCKET, self._bucket()).where(F.col(BUCKET) >= 0)
+                rows = rows.join(asked, [self.key, BUCKET], "left_semi")
+            parts.append(rows.select(*layout.fieldNames()))
+        if open_:
+            paths = [f"{self.path}/open/batch_id={n}" for n in open_]
+            rows = self.spark.read.schema(layout).option("basePath", f"{self.path}/open").parquet(*paths)
+            if keys is not None:
+                rows = rows.join(keys.select(self.key).distinct(), self.key, "left_semi")
+            parts.append(rows.select(*layout.fieldNames()))
+        if not parts:
+            return self.spark.createDataFrame([], layout)
+        return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
+
+    def _kept(self, rows: DataFrame) -> DataFrame:
+        return rows
+
+    def _fold(self, upto: int) -> None:
+        before = self._base()
+        rows = self._kept(self.history(upto=upto)).withColumn(BUCKET, self._bucket())
+        rows.repartition(BUCKET).write.mode("overwrite").partitionBy(BUCKET).parquet(f"{self.path}/base/upto={upto}")
+        for n in self._numbers("base/upto"):
+            if n < before:
+                self._remove(f"base/upto={n}")
+        for n in self._numbers("open/batch_id"):
+            if n <= before:
+                self._remove(f"open/batch_id={n}")
+
+
+class BatchLog(_Batches):
+    """Every row of every batch."""
 
     def read(self) -> DataFrame:
-        """The newest row of each key."""
-        row = F.struct(*self.schema.fieldNames())
-        newest = self.history().groupBy(self.key).agg(F.max_by(row, "batch_id").alias("row"))
-        return newest.select("row.*")
-
-    def compact_to(self, path: str) -> KeyedTable:
-        """The current rows as the first batch of a new table."""
-        fresh = KeyedTable(self.spark, path, self.schema, self.key)
-        fresh.replace(self.read(), 0)
-        return fresh
+        return self.history().drop("batch_id")
+
+
+class KeyedTable(_Batches):
+    """A table whose rows are replaced by key: the newest batch that names a key gives its row."""
+
+    def read(self, keys: DataFrame | None = None) -> DataFrame:
+        """The newest row of each key, or of the given keys."""
+        return self._kept(self.history(keys)).drop("batch_id")
+
+    def _kept(self, rows: DataFrame) -> DataFrame:
+        row = F.struct(*self.schema.fieldNames(), "batch_id")
+        return rows.groupBy(self.key).agg(F.max_by(row, "batch_id").alias("row")).select("row.*")

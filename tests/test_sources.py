@@ -85,7 +85,9 @@ def test_jobs_hand_over_through_tables(spark):
     jobs.offline(store)
     assert store.read("ContentRankedGroups").count() == store.read("ContentGroupPairs").count() > 0
     posts = spark.createDataFrame([(0, 1, 9.0, 1_600_000_000), (99, 1, 4.0, 1_600_000_000)], "userId long, productId long, uiScore double, timestamp long")
-    assert store.read("Rating").count() == len(ratings)
+    jobs.rate(store, posts)
+    assert store.read("Rating").count() == len(ratings) + 1 + (1 if store.read("Rating").where("userId = 0 AND productId = 1").first().timestamp == 1_600_000_000 else 0)
+    assert store.read("Rating").where("userId = 0 AND productId = 1").first().score == 4.5
     params = tables.best_params(store.read("OptedParams"))
     assert params["impFeatureNum"] == 2 and params["rmse"] > 0
     assert store.read("UserRecs").count() == 20
