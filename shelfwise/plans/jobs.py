@@ -22,7 +22,7 @@ from shelfwise.operators import als, itemcf, similarity, stats
 from shelfwise.operators import recs as rc
 from shelfwise.operators.similarity import Similarity
 from shelfwise.plans import serving
-from shelfwise.session import build_session
+from shelfwise.session import build_session, clean_runs
 from shelfwise.sources import files, streams
 from shelfwise.sources.tables import BUCKETS, Warehouse
 from shelfwise.streaming import pipelines
@@ -178,6 +178,7 @@ def main(argv: list[str] | None = None) -> None:
         "rate": lambda: rate(store, spark.read.parquet(args.posts), args.buckets),
         "hot": lambda: show_hot(store, args.num or 20),
     }[args.job]()
+    clean_runs(spark)
 
 
 if __name__ == "__main__":

@@ -20,6 +20,7 @@ DEFAULTS = {
 }
 
 _local_dirs: dict[str, str] = {}
+_runs: list[str] = []
 
 
 def build_session(app: str = "shelfwise", master: str | None = None, **conf: str) -> SparkSession:
@@ -56,8 +57,17 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def run_dir(spark: SparkSession, purpose: str) -> str:
-    """A new, never reused path below the shared folder."""
-    return f"{shared_dir(spark)}/{purpose}-{uuid.uuid4().hex}"
+    """A new, never reused path below the shared folder; ``clean_runs`` removes it."""
+    _runs.append(f"{shared_dir(spark)}/{purpose}-{uuid.uuid4().hex}")
+    return _runs[-1]
+
+
+def clean_runs(spark: SparkSession) -> None:
+    """Removes what ``run_dir`` has handed out, once no result that reads it is needed any more."""
+    hadoop = spark.sparkContext._jsc.hadoopConfiguration()
+    while _runs:
+        path = spark.sparkContext._jvm.org.apache.hadoop.fs.Path(_runs.pop())
+        path.getFileSystem(hadoop).delete(path, True)
 
 
 def enable_checkpoints(spark: SparkSession) -> None:
