@@ -2,9 +2,10 @@
 
 A signature is a common word (anchor) with the chain of the next ``CHAIN`` content words; anchors inside a
 chain are passed over. A text's fingerprint is the set of its signatures, shown as one digest. Likeness is
-the Jaccard of two sets, looked at only where their sizes allow any: sets fall into length
-partitions whose borders grow by ``1 / threshold``, and only sets of the same or the next partition
-can reach the threshold (``links``).
+the Jaccard of two sets, pruned by their sizes: nothing is compared where one is empty, and
+``near_pairs``, the search for all similar sets, looks only at sets of the same or the next length partition
+(borders grow by ``1 / threshold``) that share one of their rarest signatures and whose sizes allow the
+threshold.
 
 Edge cases: a null text counts as empty; an empty text has an empty set, like only another empty one;
 a text without a full chain has its words as its only signature; repeated rows have equal fingerprints;
@@ -126,3 +127,45 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
         likeness(F.col("own"), F.col("following")).alias("near_next"),
         F.size("own").cast("bigint").alias("n_signatures"),
     )
+
+
+def near_pairs(docs: DataFrame, threshold: float = 0.8, id_col: str = "doc_id", text_col: str = "text") -> tuple[DataFrame, DataFrame]:
+    """(members, pairs): doc_id and node of each document with signatures, and all pairs of nodes as like as ``threshold``.
+
+    A node is one distinct set, named by its smallest id, so copies are not paired. Two sets of Jaccard t share a signature among
+    the first ``n - ceil(t * n) + 1`` of each, rarest first, and their lengths differ by a factor of
+    ``1 / t`` at most: a set is posted in its own length partition and looks into its own and the next one. A pair is
+    compared once, at its first shared signature. ``threshold`` is above 0.
+    """
+    rows = docs.where(F.col(id_col).isNotNull()).select(F.col(id_col).cast("bigint").alias("doc_id"), signatures(F.col(text_col)).alias("set"))
+    rows = stored(rows.where(F.size("set") > 0), "spots")
+    members = rows.groupBy("set").agg(F.min("doc_id").alias("node"))
+    nodes = stored(members, "spot-nodes")
+    every = nodes.select("node", F.explode("set").alias("signature"))
+    ranks = every.groupBy("signature").agg(F.count("*").alias("n"))
+    ordered = every.join(ranks, "signature").groupBy("node").agg(F.array_sort(F.collect_list(F.struct("n", "signature"))).alias("ordered"))
+    size = F.size("ordered")
+    keep = size - F.ceil(size * F.lit(threshold) - 1e-9) + 1
+    part = F.floor(F.log(size.cast("double")) / math.log(1 / threshold) + 1e-9).cast("int") if threshold < 1 else size
+    posts = ordered.select(
+        "node",
+        size.alias("size"),
+        part.alias("part"),
+        F.transform("ordered", lambda x: x["signature"]).alias("spots"),
+        F.slice(F.transform("ordered", lambda x: x["signature"]), 1, keep.cast("int")).alias("lead"),
+    )
+    look = posts.withColumn("at", F.explode(F.array("part", F.col("part") + 1)))
+    a = look.select("*", F.explode("lead").alias("signature")).select(
+        F.col("node").alias("a"), F.col("size").alias("size_a"), F.col("part").alias("part_a"), F.col("spots").alias("spots_a"), F.col("lead").alias("lead_a"), "at", "signature"
+    )
+    b = posts.select(
+        F.col("node").alias("b"), F.col("size").alias("size_b"), F.col("spots").alias("spots_b"), F.col("lead").alias("lead_b"), F.col("part").alias("at"), F.explode("lead").alias("signature")
+    )
+    once = (F.col("part_a") < F.col("at")) | (F.col("a") < F.col("b"))
+    smaller, larger = F.least("size_a", "size_b"), F.greatest("size_a", "size_b")
+    allowed = smaller >= larger * threshold - 1e-9
+    first = F.get(F.array_intersect("lead_a", "lead_b"), F.lit(0)) == F.col("signature")
+    met = a.join(b, ["signature", "at"]).where(once & allowed & first)
+    near = likeness(F.col("spots_a"), F.col("spots_b"))
+    pairs = met.select(F.least("a", "b").alias("a"), F.greatest("a", "b").alias("b"), near.alias("likeness")).where(F.col("likeness") >= threshold - 1e-12)
+    return rows.join(nodes, "set").select("doc_id", "node"), pairs

@@ -199,6 +199,33 @@ def test_signatures(spark):
     assert r.got == r.want
 
 
+@pytest.mark.parametrize("threshold", [0.5, 0.8, 1.0])
+def test_near_pairs_equal_all_pairs(spark, threshold):
+    rng = random.Random(6)
+    base = [f"{rng.choice(['the', 'of', 'and'])} w{rng.randrange(200)} v{rng.randrange(200)}".split() for _ in range(40)]
+    pairs = []
+    for i in range(60):
+        kept = [w for w in base if rng.random() < rng.choice([0.7, 0.95, 1.0])]
+        pairs.append((i, " ".join(w for ws in kept for w in ws)))
+    docs = cases.frame(spark, [*pairs, *[(1000 + (i or 0), t) for i, t in cases.ODD]])
+    members, near = spotsigs.near_pairs(docs, threshold)
+    sets = {r.doc_id: frozenset(r.s) for r in docs.select("doc_id", spotsigs.signatures(docs.text).alias("s")).collect() if r.s}
+    node = {r.doc_id: r.node for r in members.collect()}
+    least = {}
+    for i in sorted(sets):
+        least.setdefault(sets[i], i)
+    assert node == {i: least[s] for i, s in sets.items()}
+    nodes = sorted(set(node.values()))
+    wanted = {}
+    for a in nodes:
+        for b in nodes:
+            like = len(sets[a] & sets[b]) / len(sets[a] | sets[b])
+            if a < b and like >= threshold:
+                wanted[a, b] = like
+    got = near.collect()
+    assert {(r.a, r.b): r.likeness for r in got} == pytest.approx(wanted) and len(got) == len(wanted)
+
+
 def test_fingerprints_of_few_rows(spark):
     assert spotsigs.fingerprints(cases.nothing(spark)).count() == 0
     got = spotsigs.fingerprints(cases.frame(spark, [(7, "abcd the end")])).first()
