@@ -45,15 +45,15 @@ class Model:
         self.languages = languages
         self.words, self.grams = words, grams
 
-    def of_word(self, word: str) -> np.ndarray | None:
+    def of_word(self, word: str) -> list[float] | None:
         """Scores of one lower-case word; None if nothing in it is known."""
         if (known := self.words.get(word)) is not None:
-            return np.array(known)
+            return known
         padded = f" {word} "
         for n in GRAMS:
-            got = [g for i in range(len(padded) - n + 1) if (g := self.grams.get(padded[i : i + n])) is not None]
-            if got:
-                return np.mean(got, axis=0)
+            found = map(self.grams.get, [padded[i : i + n] for i in range(len(padded) - n + 1)])
+            if got := [g for g in found if g is not None]:
+                return [sum(column) / len(got) for column in zip(*got, strict=True)]
         return None
 
     def scorer(self) -> Scorer:
@@ -71,15 +71,12 @@ class Scorer:
         self.rows: dict[str, int] = {}
         self.sums = np.zeros((CACHE, len(model.languages) + 1))
 
-    def of_token(self, token: str) -> np.ndarray:
+    def of_token(self, token: str) -> list[float]:
         """Summed scores of the words in a token, and their number."""
-        out = np.zeros(len(self.model.languages) + 1)
-        for word in self.letters(token):
-            scores = self.model.of_word(word)
-            if scores is not None:
-                out[:-1] += scores
-            out[-1] += 1
-        return out
+        words = self.letters(token)
+        scored = [s for s in map(self.model.of_word, words) if s is not None]
+        sums = scored[0] if len(scored) == 1 else [sum(c) for c in zip(*scored, strict=True)] or [0.0] * len(self.model.languages)
+        return [*sums, len(words)]
 
     def __call__(self, text: str | None) -> tuple[str, float]:
         counts = Counter((text or "").lower().split())
@@ -92,7 +89,7 @@ class Scorer:
             if at is None:
                 own = self.of_token(token)
                 if len(token) > LONGEST or len(self.rows) >= CACHE:
-                    total += n * own
+                    total += n * np.array(own)
                     continue
                 at = self.rows[token] = len(self.rows)
                 self.sums[at] = own
