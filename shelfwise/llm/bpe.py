@@ -25,9 +25,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shelfwise.llm.common import parts
+
 RANKS = "byte_bpe_50k.tiktoken"
 #: Chunks kept per Python worker before the cache starts anew.
-CACHE = 300_000
+CACHE = 150_000
 #: Single blanks between non-blanks.
 CUT = re.compile(r"(?<=\S) (?=\S)")
 
@@ -140,7 +142,7 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", voca
 
     def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(*where)
-        for batch in source:
+        for batch in parts(source):
             ids = [own.encode(text or "") for text in batch.column("text").to_pylist()]
             ends = np.cumsum([0, *map(len, ids)])
             flat = np.fromiter(chain.from_iterable(ids), np.int32, ends[-1])
@@ -175,7 +177,7 @@ def digests(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", voc
 
     def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = codec(*where)
-        for batch in source:
+        for batch in parts(source):
             counts, coded, back = [], [], []
             for text in batch.column("text").to_pylist():
                 ids = own.encode(text or "")

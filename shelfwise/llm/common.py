@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-import functools
-import operator
+from collections.abc import Iterator
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -35,5 +35,8 @@ def is_held_out(id_col: Column) -> Column:
     return F.coalesce(F.crc32(id_col.cast("string").cast("binary")) % HOLD_OUT_PARTS == 1, F.lit(False))
 
 
-def any_of(conditions: list[Column]) -> Column:
-    return functools.reduce(operator.or_, conditions)
+def parts(batches: Iterator[pa.RecordBatch], rows: int = 256) -> Iterator[pa.RecordBatch]:
+    """The batches in small slices, so that a worker holds few texts as Python objects at a time."""
+    for batch in batches:
+        for start in range(0, batch.num_rows, rows):
+            yield batch.slice(start, rows)

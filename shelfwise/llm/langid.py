@@ -21,11 +21,11 @@ from collections import Counter
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfwise.llm.common import is_held_out
+from shelfwise.llm.common import is_held_out, parts
 
 SAMPLE = 2000
 N_WORDS = 50_000
@@ -34,7 +34,7 @@ GRAMS = (4, 3, 2, 1)
 LONGEST = 64
 SMOOTH = 0.5
 WEIGHT = 30
-CACHE = 200_000
+CACHE = 100_000
 UNKNOWN = "und"
 
 
@@ -154,36 +154,40 @@ def learn(
     return model
 
 
-def predict(docs: DataFrame, model: Model, text_col: str = "text") -> DataFrame:
-    """``docs`` with lang_pred and score in front of its own columns."""
+def identify(docs: DataFrame, model: Model | None = None, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
+    """doc_id, held_out, lang_pred, score of every document."""
+    model = model or learn(docs, id_col, text_col, lang_col)
     shared = docs.sparkSession.sparkContext.broadcast(model)  # bounded by the numbers of words and n-grams
 
-    @F.pandas_udf("lang_pred string, score double")
-    def judge(batches: Iterator[pd.Series]) -> Iterator[pd.DataFrame]:
+    def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         score = shared.value.scorer()
-        for texts in batches:
-            yield pd.DataFrame([score(t) for t in texts], columns=["lang_pred", "score"])
+        for batch in parts(source):
+            found = [score(text) for text in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays(
+                [batch.column("doc_id"), pa.array([f[0] for f in found], pa.string()), pa.array([f[1] for f in found], pa.float64())],
+                names=["doc_id", "lang_pred", "score"],
+            )
 
-    return docs.withColumn("_judged", judge(F.col(text_col)))
-
-
-def identify(docs: DataFrame, model: Model | None = None, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang") -> DataFrame:
-    """doc_id, held_out, lang_pred, score of every document."""
-    model = model or learn(docs, id_col, text_col, lang_col)
-    slim = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    return predict(slim, model).select("doc_id", is_held_out(F.col("doc_id")).alias("held_out"), "_judged.*")
+    rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
+    judged = rows.mapInArrow(batches, "doc_id bigint, lang_pred string, score double")
+    return judged.select("doc_id", is_held_out(F.col("doc_id")).alias("held_out"), "lang_pred", "score")
 
 
 def keep_known(docs: DataFrame, model: Model | None = None, min_lift: float = 1.1) -> DataFrame:
-    """``docs`` without those in no known language, each ``lang`` as predicted.
+    """``docs`` (with doc_id, text, lang) without those in no known language, each ``lang`` as predicted.
 
     Rejected are ``und`` and texts whose posterior is not ``min_lift`` times that of a blind guess.
     """
     model = model or learn(docs)
-    least = min_lift / max(len(model.languages), 1) if len(model.languages) > 1 else 0.0
-    judged = predict(docs, model)
-    return (
-        judged.where((F.col("_judged.lang_pred") != UNKNOWN) & (F.col("_judged.score") >= least))
-        .withColumn("lang", F.col("_judged.lang_pred"))
-        .select(*docs.columns)
-    )
+    least = min_lift / len(model.languages) if len(model.languages) > 1 else 0.0
+    shared = docs.sparkSession.sparkContext.broadcast(model)
+    place = docs.columns.index("lang")
+
+    def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        score = shared.value.scorer()
+        for batch in parts(source):
+            found = [score(text) for text in batch.column("text").to_pylist()]
+            named = batch.set_column(place, "lang", pa.array([f[0] for f in found], pa.string()))
+            yield named.filter(pa.array([f[0] != UNKNOWN and f[1] >= least for f in found], pa.bool_()))
+
+    return docs.mapInArrow(batches, docs.schema)

@@ -26,7 +26,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfwise.llm.common import stored
+from shelfwise.llm.common import parts, stored
 from shelfwise.llm.graph import components
 
 WIDTH = 4
@@ -146,7 +146,7 @@ def sketches(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wi
     """doc_id, n_shingles, set_id (digest of the set), signature, bands (bucket keys); the last three null without words."""
 
     def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in source:
+        for batch in parts(source):
             counts, sets, signatures, bands = [], [], [], []
             for text in batch.column("text").to_pylist():
                 hashes = shingles(text, width)
@@ -249,7 +249,7 @@ def confirmed_links(docs: DataFrame, groups: DataFrame, width: int = WIDTH, perc
     )
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
+        for batch in parts(batches):
             made = [shingles(t, width).tobytes() for t in batch.column("text").to_pylist()]
             names = ["node", "component", "n_blocks", "mine"]
             yield pa.RecordBatch.from_arrays([*[batch.column(n) for n in names], pa.array(made, pa.binary())], names=[*names, "set"])

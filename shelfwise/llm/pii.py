@@ -23,11 +23,12 @@ import re
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from shelfwise.llm.common import parts
+
 #: The kinds in the order of spans with one start.
 KINDS = ("email", "ip", "card", "phone")
 LABELS = ("none", *KINDS)
@@ -243,7 +244,7 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", sampl
     """The field fitted to a bounded sample of the documents."""
 
     def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in source:
+        for batch in parts(source):
             out = []
             for text in batch.column("text").to_pylist():
                 if text and (found := nodes(text)[:FIT_NODES]):
@@ -288,7 +289,7 @@ def scan(docs: DataFrame, field: Field | None = None, id_col: str = "doc_id", te
     counts = [f"n_{kind}" for kind in KINDS]
 
     def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in source:
+        for batch in parts(source):
             rows = [spans(text or "", field) for text in batch.column("text").to_pylist()]
             yield pa.RecordBatch.from_arrays(
                 [
@@ -320,9 +321,12 @@ def redact(docs: DataFrame, field: Field | None = None, text_col: str = "text")
     """``docs`` with every span in its text replaced; a text without spans stays as it is."""
     field = field or learn(docs, text_col=text_col)
 
-    @F.pandas_udf("string")
-    def clean(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
-        for texts in batches:
-            yield texts.map(lambda t: None if t is None else masked(t, [*(both := spans(t, field))[0], *both[1]]))
+    place = docs.columns.index(text_col)
+
+    def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in parts(source):
+            texts = batch.column(place).to_pylist()
+            clean = [None if t is None else masked(t, [*(both := spans(t, field))[0], *both[1]]) for t in texts]
+            yield batch.set_column(place, text_col, pa.array(clean, pa.string()))
 
-    return docs.withColumn(text_col, clean(F.col(text_col)))
+    return docs.mapInArrow(batches, docs.schema)

@@ -23,10 +23,11 @@ from itertools import chain
 
 import numpy as np
 import pandas as pd
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfwise.llm.common import is_held_out
+from shelfwise.llm.common import is_held_out, parts
 
 HASH_BITS = 20
 LEVELS = 3
@@ -38,7 +39,9 @@ MIN_STRENGTH = 4.0
 FACTORS = 6
 EPOCHS = 250
 THRESHOLD = 0.7
-CACHE = 300_000
+CACHE = 100_000
+FIT_CACHE = 20_000
+NOTHING: dict[str, tuple[int, ...]] = {}
 
 
 def buckets_of(word: str) -> tuple[int, ...]:
@@ -68,10 +71,10 @@ class Terms:
                 buckets = tuple(b for b in buckets if b in self.wanted)
             if buckets:
                 own[word] = buckets
-        if len(self.seen) >= CACHE:
+        if len(self.seen) >= (FIT_CACHE if self.wanted is None else CACHE):
             self.seen.clear()
         if len(token) <= 64:
-            self.seen[token] = own
+            self.seen[token] = own or NOTHING
         return own
 
     def __call__(self, text: str | None) -> list[int]:
@@ -184,14 +187,15 @@ def score(docs: DataFrame, machine: Machine, id_col: str = "doc_id", text_col: s
     """doc_id, held_out, score, predicted of every document."""
     shared = docs.sparkSession.sparkContext.broadcast(machine)  # bounded by the number of terms
 
-    @F.pandas_udf("double")
-    def judge(batches: Iterator[pd.Series]) -> Iterator[pd.Series]:
+    def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         own = shared.value
         of = Terms(own.chosen)
-        for texts in batches:
-            yield texts.map(lambda t: own.score(of(t)))
+        for batch in parts(source):
+            scores = [own.score(of(text)) for text in batch.column("text").to_pylist()]
+            yield pa.RecordBatch.from_arrays([batch.column("doc_id"), pa.array(scores, pa.float64())], names=["doc_id", "score"])
 
-    slim = docs.select(F.col(id_col).alias("doc_id"), judge(F.col(text_col)).alias("score"))
+    rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
+    slim = rows.mapInArrow(batches, "doc_id bigint, score double")
     return slim.select(
         "doc_id", is_held_out(F.col("doc_id")).alias("held_out"), "score", (F.col("score") >= threshold).cast("int").alias("predicted")
     )
