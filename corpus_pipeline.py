@@ -44,7 +44,8 @@ def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     share = mixing.taken(line, pieces).groupBy("doc_id").agg((F.sum("taken") / F.sum("size")).alias("share"))
     times = share.select(F.col("doc_id").alias("row"), F.floor(F.col("share") + 0.5).cast("int").alias("times"))
     chosen = stored(times.where("times > 0"), "mix-times")
-    return keyed.join(chosen, "row").withColumn("again", F.explode(F.array_repeat(F.lit(0), F.col("times")))).select(*COLUMNS)
+    # One row a document, so merged with the texts at every size, never broadcast.
+    return keyed.join(chosen.hint("merge"), "row").withColumn("again", F.explode(F.array_repeat(F.lit(0), F.col("times")))).select(*COLUMNS)
 
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

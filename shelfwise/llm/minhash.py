@@ -254,8 +254,8 @@ def confirmed_links(docs: DataFrame, groups: DataFrame, width: int = WIDTH, perc
             names = ["node", "component", "n_blocks", "mine"]
             yield pa.RecordBatch.from_arrays([*[batch.column(n) for n in names], pa.array(made, pa.binary())], names=[*names, "set"])
 
-    # The groups are a stored table of known size: Spark broadcasts it where that is small and shuffles the texts otherwise.
-    texts = docs.join(rows, docs["doc_id"] == rows["node"]).select("node", "component", "n_blocks", "mine", "text")
+    # The ids grow with the corpus, so they are merged with the texts at every size, never broadcast.
+    texts = docs.join(rows.hint("merge"), docs["doc_id"] == rows["node"]).select("node", "component", "n_blocks", "mine", "text")
     full = texts.mapInArrow(sets, "node bigint, component bigint, n_blocks int, mine int, set binary")
     met = full.withColumn("other", F.explode(F.sequence(F.lit(0), F.col("n_blocks") - 1))).select(
         "component", F.least("mine", "other").alias("i"), F.greatest("mine", "other").alias("j"), "mine", "node", "set"
@@ -299,7 +299,7 @@ def classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", wid
 def without_copies(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", width: int = WIDTH, percent: int = PERCENT) -> DataFrame:
     """``docs`` with one document of each group: that of the smallest id, once. Rows without id all stay."""
     kept = classes(docs, id_col, text_col, width, percent).where("kept").groupBy("doc_id").agg(F.count("*").alias("n"))
-    kept = stored(kept, "kept").withColumnRenamed("doc_id", id_col)
+    kept = stored(kept, "kept").withColumnRenamed("doc_id", id_col).hint("merge")
     with_id = docs.where(F.col(id_col).isNotNull())
     single = with_id.join(kept.where("n = 1"), id_col, "left_semi")
     repeated = with_id.join(kept.where("n > 1"), id_col, "left_semi").dropDuplicates([id_col])  # usually none
