@@ -68,7 +68,10 @@ def top_k(
         apart = _apart(m)
         distance = F.aggregate(apart, F.lit(0), lambda a, b: a + b)
         first = (F.array_min(apart) == radius) & (F.array_position(apart, F.lit(radius)) == F.col("segment") + 1)
-        met = probes.join(index.withColumnsRenamed({"segment": "s", "value": "v"}), (F.col("segment") == F.col("s")) & (F.col("value") == F.col("v")) & first & (distance <= F.col("worst")))
+        posted = index.select("code", "ids", F.col("segment").alias("s"), F.col("value").alias("v"))
+        same = (F.col("segment") == F.col("s")) & (F.col("value") == F.col("v"))
+        # Either side is far larger than the stored table that it is exploded from, which is all that Spark sees: never broadcast.
+        met = probes.hint("merge").join(posted.hint("merge"), same & first & (distance <= F.col("worst")))
         fresh = met.select("query", distance.alias("distance"), F.explode("ids").alias("id"))
         if best is not None:
             fresh = fresh.unionByName(best.join(open_.select("query"), "query", "left_semi").select("query", "distance", "id"))
