@@ -4,7 +4,8 @@ Candidates are found by kind in every whole text. The hash of each candidate's s
 counted over the corpus: in how many repositories (documents) and with how many owners (sources) it
 occurs. A secret that many share is an example; one that stays with a single owner in few
 repositories looks live. The three base kinds are always reported, the other kinds only where they
-look live.
+look live. A private key reaches from its header through the text of the key to the END line; its secret is the text
+of the key, since all keys of a type have the same header.
 
 Positions count code points; the end is exclusive. Edge cases: a null text counts as empty; a null
 owner is an owner of its own; repeated rows are scanned each; documents without candidates have
@@ -32,6 +33,11 @@ MORE = {
     "random": r"[A-Za-z0-9+/_-]{32,}",
 }
 KINDS = BASE | MORE
+#: A private key after its header: its last line, a run that only key text has, and the first place that is not key text.
+KEY_END = r"\A-----END [A-Z ]{0,32}PRIVATE KEY-----"
+KEY_RUN = r"[A-Za-z0-9+/=]{16}"
+NO_KEY = r"""[^A-Za-z0-9+/=\s"']|(?<![A-Za-z0-9+/=])(?![A-Za-z0-9+/=]{16})[A-Za-z0-9+/=]"""
+NOT_SECRET = r"-----(?:BEGIN|END) [A-Z ]{0,32}PRIVATE KEY-----|\\[nr]|[^A-Za-z0-9+/=]"
 MIN_ASSIGNED = 6
 #: A candidate looks live up to so many owners and repositories, and from so many different characters.
 LIVE_OWNERS = 1
@@ -39,15 +45,34 @@ LIVE_REPOSITORIES = 4
 LIVE_CHARACTERS = 8
 
 
+def _key(after: Column) -> Column:
+    """What follows a header as its key: through the END line or, if that is missing, the leading runs of key text."""
+    body = F.substring_index(after, "-----", 1)
+    end = F.regexp_extract(F.substring(after, F.char_length(body) + 1, F.lit(64)), KEY_END, 0)
+    # Written-out line ends become blanks of the same length.
+    plain = F.regexp_replace(body, r"\\[nr]", "  ")
+    stop = F.regexp_instr(plain, F.lit(NO_KEY))
+    runs = F.when(stop > 0, F.substring(plain, F.lit(1), stop - 1)).otherwise(plain)
+    length = F.char_length(F.regexp_replace(runs, r"""(?<![\s"'])[\s"']+\z""", ""))
+    return F.when(~body.rlike(KEY_RUN), "").when(end != "", F.concat(body, end)).otherwise(F.substring(body, F.lit(1), length))
+
+
 def _found(text: Column, kind: str) -> Column:
     pattern = KINDS[kind]
-    lengths = F.transform(F.split(text, pattern, -1), F.char_length)
+    between = F.split(text, pattern, -1)
+    matches = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
+    lengths = F.transform(between, F.char_length)
+    if kind == "private":
+        after = F.slice(between, 2, F.size(between))
+        matches = F.zip_with(matches, after, lambda head, rest: F.concat(head, _key(rest)))
+        left = F.transform(after, lambda rest: F.char_length(rest) - F.char_length(_key(rest)))
+        lengths = F.concat(F.slice(lengths, 1, 1), left)
     return F.when(
         text.rlike(pattern),
         F.struct(
             F.lit(kind).alias("kind"),
             F.lit(list(KINDS).index(kind)).alias("place"),
-            F.regexp_extract_all(text, F.lit(pattern), F.lit(0)).alias("matches"),
+            matches.alias("matches"),
             lengths.alias("gaps"),
         ),
     )
@@ -78,7 +103,12 @@ def spans(found: DataFrame) -> DataFrame:
         length.alias("length"),
         F.col("m.matches").alias("match"),
     )
-    secret = F.when(F.col("kind") == "assign", F.regexp_extract("match", KINDS["assign"], 2)).otherwise(F.col("match"))
+    key = F.regexp_replace("match", NOT_SECRET, "")
+    secret = (
+        F.when(F.col("kind") == "assign", F.regexp_extract("match", KINDS["assign"], 2))
+        .when((F.col("kind") == "private") & (key != ""), key)
+        .otherwise(F.col("match"))
+    )
     mixed = F.col("match").rlike("[a-z]") & F.col("match").rlike("[A-Z]") & F.col("match").rlike("[0-9]")
     passes = (
         F.when(F.col("kind") == "assign", F.char_length("secret") >= MIN_ASSIGNED)
