@@ -1,7 +1,7 @@
 """SpotSigs document fingerprints, in DataFrame functions only.
 
-A signature is a common word (anchor) with the chain of the next ``CHAIN`` content words; up to ``PASSED`` anchors
-in a row inside a chain are passed over. A text's fingerprint is the set of its signatures, shown as one digest. Likeness is
+A signature is a common word (anchor) with the chain of the next ``CHAIN`` content words; anchors inside a chain are
+passed over, however many stand in a row. A text's fingerprint is the set of its signatures, shown as one digest. Likeness is
 the Jaccard of two sets, pruned by their sizes: nothing is compared where one is empty, and
 ``near_pairs``, the search for all similar sets, looks only at sets of the same or the next length partition
 (borders grow by ``1 / threshold``) that share one of their rarest signatures and whose sizes allow the
@@ -31,8 +31,6 @@ ANCHORS = (
     "al con del el los las no para se su una y |"
 ).split()
 CHAIN = 2
-#: Anchors in a row that a chain passes over; without a bound a text of anchors alone would cost its length squared.
-PASSED = 8
 MARK = "\x01"
 #: Documents whose neighbours are looked up together, and pieces of the id range.
 RUN = 8192
@@ -55,14 +53,24 @@ def _with(value: Column, use) -> Column:
 def signatures(text: Column, chain: int = CHAIN) -> Column:
     """Sorted distinct hashes of a text's signatures."""
     plain = F.regexp_replace(F.lower(F.coalesce(text, F.lit(""))), r"[^\p{L}\p{N}\s|]+", "")
-    rest = f"[^{MARK} ]+"
-    passed = f"(?:{MARK}{rest}){{0,{PASSED}}}+ "
+
+    def of_tokens(tokens: Column) -> Column:
+        # Content words by place; the chain of an anchor is the words at the next places, so a run of anchors costs its length.
+        def chains(content: Column) -> Column:
+            def at(token: Column, i: Column) -> Column:
+                following = F.array_join(F.slice(content, i + 2, chain), " ")
+                anchors = F.slice(F.split(token, MARK, -1), 2, F.char_length(token))
+                found = _with(following, lambda f: F.transform(anchors, lambda a: F.xxhash64(F.concat_ws(" ", a, f))))
+                return F.when(token.contains(MARK) & (i + chain < F.size(content)), found)
+
+            return F.flatten(F.filter(F.transform(tokens, at), lambda x: x.isNotNull()))
+
+        return _with(F.transform(tokens, lambda t: F.substring_index(t, MARK, 1)), chains)
 
     def of_words(words: Column) -> Column:
         # Every anchor hangs on the content word before it; one stands before the first word.
         hung = F.regexp_replace(F.concat(F.lit("^ "), words, F.lit(" ")), f" (?:({_any_anchor()}))(?= )", f"{MARK}$1")
-        chains = F.regexp_extract_all(hung, F.lit(f"{MARK}(?=({rest}{(passed + rest) * chain}))"), F.lit(1))
-        hashed = F.transform(chains, lambda c: F.xxhash64(F.regexp_replace(c, f"{MARK}{rest}", "")))
+        hashed = _with(F.split(F.rtrim(hung), " ", -1), of_tokens)
         whole = F.when(words != "", F.array(F.xxhash64(words))).otherwise(F.array().cast("array<bigint>"))
         return _with(hashed, lambda found: F.when(F.size(found) > 0, F.sort_array(F.array_distinct(found))).otherwise(whole))
 

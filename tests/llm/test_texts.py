@@ -199,6 +199,21 @@ def test_signatures(spark):
     assert r.got == r.want
 
 
+def test_signatures_pass_over_any_run_of_anchors(spark):
+    rng = random.Random(9)
+    for run in (3, 9, 40, 5000):
+        words = [w for i in range(6) for w in [f"c{i}", *rng.choices(["the", "of", "|", "für"], k=run)]]
+        content = [i for i, w in enumerate(words) if w not in spotsigs.ANCHORS]
+        want = set()
+        for i, w in enumerate(words):
+            after = [words[j] for j in content if j > i][:2]
+            if w in spotsigs.ANCHORS and len(after) == 2:
+                want.add(" ".join([w, *after]))
+        df = spark.createDataFrame([(" ".join(words), sorted(want))], "text string, plain array<string>")
+        r = df.select(spotsigs.signatures(df.text).alias("got"), spotsigs.F.expr("array_sort(transform(plain, x -> xxhash64(x)))").alias("want")).first()
+        assert r.got == r.want
+
+
 @pytest.mark.parametrize("threshold", [0.5, 0.8, 1.0])
 def test_near_pairs_equal_all_pairs(spark, threshold):
     rng = random.Random(6)
