@@ -3,13 +3,14 @@
 Rules find e-mail addresses, IP addresses, card numbers and phone numbers (``base_spans``). All
 number-like and address-like stretches of a document are then the nodes of a random field with labels
 none, email, ip, card, phone. Neighbouring nodes are linked in a chain; nodes with the same, or with a
-similar, normal form are linked however far apart they stand. Nodes that a rule has found keep its label,
-loopy message passing spreads it, and another node whose label is sure enough becomes a span too: a
+similar, normal form are linked to one entity node of that form, however many there are and however far apart they
+stand. Nodes that a rule has found keep its label and so does their entity, which makes every repeat one link away from it.
+Loopy message passing spreads labels until they settle, and another node whose label is sure enough becomes a span too: a
 number written with a ``+`` once is a phone number wherever the document repeats it.
 
 The weights are fitted by pseudo-likelihood to the rules' own labels on about ``sample`` documents with
-nodes (by a hash of the id), the first ``FIT_NODES`` nodes of each. Finding reads whole texts. A node has at
-most four links whatever the document, so messages cost as much as nodes.
+nodes (by a hash of the id), the first ``FIT_NODES`` nodes of each, where a node is linked to the one before of its form.
+Finding reads whole texts. There are at most four links a node whatever the document, so a sweep costs as much as nodes.
 
 Positions count code points; ends are exclusive. Edge cases: a null text counts as empty; repeated
 rows are each scanned; without nodes to learn from only the rules speak; an empty table gives an empty
@@ -48,7 +49,8 @@ MIN_DIGITS = 7
 NEAR = 200
 TAIL = 7
 SURE = 0.9
-ROUNDS = 10
+#: Sweeps end when messages settle; this only ends those that never do.
+ROUNDS = 1000
 CHAIN, SAME, SIMILAR = range(3)
 
 
@@ -126,15 +128,24 @@ def features(node: str) -> list[int]:
     return [min(len(digits), N_COUNTS - 1), *[N_COUNTS + i for i, yes in enumerate(has) if yes]]
 
 
+def forms(node: str) -> tuple[str, str]:
+    """Normal form, and the rough one that similar nodes share."""
+    node = node.lower()
+    digits = NOT_DIGITS.sub("", node)
+    return (node, node.partition("@")[0]) if "@" in node else (digits, digits[-TAIL:])
+
+
+def neighbours(found: list[tuple[int, int]]) -> list[tuple[int, int, int]]:
+    return [(i - 1, i, CHAIN) for i in range(1, len(found)) if found[i][0] - found[i - 1][1] <= NEAR]
+
+
 def links(text: str, found: list[tuple[int, int]]) -> list[tuple[int, int, int]]:
-    """(node, later node, kind of link): neighbours, and the next node of the same or a similar normal form."""
-    out = [(i - 1, i, CHAIN) for i in range(1, len(found)) if found[i][0] - found[i - 1][1] <= NEAR]
+    """(node, later node, kind of link) to fit by: neighbours, and the next node of the same or a similar normal form."""
+    out = neighbours(found)
     same: dict[str, int] = {}
     similar: dict[str, int] = {}
     for i, (start, end) in enumerate(found):
-        node = text[start:end].lower()
-        digits = NOT_DIGITS.sub("", node)
-        form, rough = (node, node.partition("@")[0]) if "@" in node else (digits, digits[-TAIL:])
+        form, rough = forms(text[start:end])
         if form in same:
             out.append((same[form], i, SAME))
         elif rough in similar:
@@ -143,6 +154,32 @@ def links(text: str, found: list[tuple[int, int]]) -> list[tuple[int, int, int]]
     return out
 
 
+def entities(text: str, found: list[tuple[int, int]]) -> tuple[list[tuple[int, int, int]], list[list[int]]]:
+    """(links to find by, nodes of each entity): entities are numbered after the nodes.
+
+    All nodes of one form are linked to its entity; forms that share a rough form, to an entity of that.
+    """
+    same: dict[str, list[int]] = {}
+    similar: dict[str, list[str]] = {}
+    for i, (start, end) in enumerate(found):
+        form, rough = forms(text[start:end])
+        if form not in same:
+            similar.setdefault(rough, []).append(form)
+        same.setdefault(form, []).append(i)
+    out, members, hub = neighbours(found), [], {}
+    for form, of_form in same.items():
+        hub[form] = of_form[0]
+        if len(of_form) > 1:
+            hub[form] = len(found) + len(members)
+            members.append(of_form)
+            out += [(i, hub[form], SAME) for i in of_form]
+    for of_rough in similar.values():
+        if len(of_rough) > 1:
+            out += [(hub[form], len(found) + len(members), SIMILAR) for form in of_rough]
+            members.append([i for form in of_rough for i in same[form]])
+    return out, members
+
+
 def labels_of(found: list[tuple[int, int]], base: list[tuple[int, int, int]]) -> list[int]:
     """The label of the first rule span that overlaps each node, 0 if none does."""
     out, first = [], 0
@@ -162,13 +199,22 @@ class Field:
     def between(self, kind: int) -> np.ndarray:
         return self.chain if kind == CHAIN else self.agree[kind] * np.eye(len(LABELS))
 
-    def marginals(self, rows: list[list[int]], fixed: list[int], edges: list[tuple[int, int, int]]) -> np.ndarray:
-        """Loopy sum-product, ``ROUNDS`` sweeps at most; nodes with a fixed label keep it."""
-        own = np.stack([self.unary[r].sum(0) for r in rows])
-        for i, label in enumerate(fixed):
-            if label:
+    def marginals(
+        self, rows: list[list[int]], fixed: list[int], edges: list[tuple[int, int, int]], members: list[list[int]] | None = None
+    ) -> np.ndarray:
+        """Loopy sum-product until messages settle; nodes with a fixed label keep it.
+
+        ``members`` has the nodes of each entity: it takes the labels fixed on them, in proportion where they differ.
+        """
+        members = members or []
+        own = np.zeros((len(rows) + len(members), len(LABELS)))
+        own[: len(rows)] = [self.unary[r].sum(0) for r in rows]
+        for i, of in enumerate([*[[i] for i in range(len(rows))], *members]):
+            known = [fixed[j] for j in of if fixed[j]]
+            if known:
                 own[i] = -30.0
-                own[i, label] = 0.0
+                for label in set(known):
+                    own[i, label] = np.log(known.count(label) / len(known))
         if not edges:
             return _softmax(own)
         a = np.array([e[0] for e in edges] + [e[1] for e in edges])
@@ -191,7 +237,7 @@ class Field:
                 break
         belief = own.copy()
         np.add.at(belief, b, messages)
-        return _softmax(belief)
+        return _softmax(belief[: len(rows)])
 
 
 def _softmax(scores: np.ndarray) -> np.ndarray:
@@ -271,7 +317,7 @@ def spans(text: str, field: Field) -> tuple[list[tuple[int, int, int]], list[tup
     fixed = labels_of(found, base)
     if all(fixed):
         return base, []
-    sure = field.marginals([features(text[s:e]) for s, e in found], fixed, links(text, found))
+    sure = field.marginals([features(text[s:e]) for s, e in found], fixed, *entities(text, found))
     best = sure.argmax(1)
     more = [
         (s, int(best[i]) - 1, e) for i, (s, e) in enumerate(found) if not fixed[i] and best[i] and sure[i, best[i]] >= SURE

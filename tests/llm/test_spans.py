@@ -4,6 +4,7 @@ import random
 import re
 
 import cases
+import numpy as np
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
@@ -124,6 +125,20 @@ def test_distant_repeats_get_the_label(spark):
     assert out == {1: clean, 2: "to <EMAIL> now", 3: None}
 
 
+def test_fifty_repeats_get_the_label(spark):
+    rng = random.Random(3)
+    many = [(i, f"Call +1 ({rng.randrange(100, 1000)}) 555-{rng.randrange(1000, 10000)} now. Ref {rng.randrange(10**7, 10**8)} of today.") for i in range(200)]
+    field = pii.learn(cases.frame(spark, many))
+    number = "(017) 555-7713"
+    text = f"Call +1 {number} soon. " + ("Words go on. " * 40 + f"Again 1 {number} here. ") * 50 + "Order 20391817 too."
+    base, more = pii.spans(text, field)
+    assert [text[s:e] for s, k, e in base] == [f"+1 {number}"]
+    assert [(text[s:e], pii.KINDS[k]) for s, k, e in more] == [(f"1 {number}", "phone")] * 50
+    # Agreement alone, nothing known of the nodes themselves.
+    even = pii.Field(np.zeros((pii.N_FEATURES, 5)), np.zeros((5, 5)), np.array([0.0, 4.0, 1.0]))
+    assert [k for _, k, _ in pii.spans(text, even)[1]] == [3] * 50
+
+
 def test_personal_data_query_rows(spark):
     got = pii.scan(cases.frame(spark)).collect()
     texts = dict(cases.ODD)
