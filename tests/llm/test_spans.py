@@ -162,3 +162,53 @@ def test_licences(spark):
     assert [found[i] for i in range(len(families))] == families
     assert all(found[i] == "" for i, _ in [*alike, *odd])
     assert licences.scan(cases.nothing(spark)).count() == 0
+
+
+PUBLISHED = {
+    "gpl":"""This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU General Public License as published by
+the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.
+
+This program is distributed in the hope that it will be useful,
+but WITHOUT ANY WARRANTY; without even the implied warranty of
+MERCHANTABILITY or FITNESS FOR A PARTICULAR PURPOSE.  See the
+GNU General Public License for more details.""",
+    "lgpl":"""This library is free software; you can redistribute it and/or
+modify it under the terms of the GNU Lesser General Public
+License as published by the Free Software Foundation; either
+version 2.1 of the License, or (at your option) any later version.""",
+    "agpl":"""This program is free software: you can redistribute it and/or modify
+it under the terms of the GNU Affero General Public License as published
+by the Free Software Foundation, either version 3 of the License, or
+(at your option) any later version.""",
+    "bsd":"""Redistribution and use in source and binary forms, with or without
+modification, are permitted provided that the following conditions
+are met:""",
+    "apache":"""Licensed under the Apache License, Version 2.0 (the "License");
+you may not use this file except in compliance with the License.
+You may obtain a copy of the License at
+
+    http://www.apache.org/licenses/LICENSE-2.0""",
+    "mit":"""Permission is hereby granted, free of charge, to any person obtaining a copy
+of this software and associated documentation files (the "Software"), to deal
+in the Software without restriction, including without limitation the rights
+to use, copy, modify, merge, publish, distribute, sublicense, and/or sell""",
+    "mpl":"""This Source Code Form is subject to the terms of the Mozilla Public
+License, v. 2.0. If a copy of the MPL was not distributed with this
+file, You can obtain one at https://mozilla.org/MPL/2.0/."""}
+
+
+def test_wrapped_notices(spark):
+    rows, want = [], {}
+    for i, (family, notice) in enumerate(PUBLISHED.items()):
+        for j, mark in enumerate(["", "# ", " * ", "// "]):
+            for k, end in enumerate(["\n", "\r\n"]):
+                wrapped = end.join((mark + line).rstrip() for line in notice.split("\n"))
+                rows.append((100 * i + 10 * j + k, f"Some words first.{end}{end}{wrapped}{end}{end}More words."))
+                want[rows[-1][0]] = family
+    prose = "\n".join("Some plain prose that says nothing of any of it at all" for _ in range(50))
+    rows.append((1000, f"{prose}\n{PUBLISHED['gpl'].partition('\n\n')[0]}\n{prose}"))
+    rows.append((1001, "SPDX-License-Identifier: MIT\nSPDX-License-Identifier: Apache-2.0"))
+    want |= {1000: "gpl", 1001: "apache,mit"}
+    assert {r.doc_id: r.families for r in licences.scan(cases.frame(spark, rows)).collect()} == want
