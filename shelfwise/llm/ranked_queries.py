@@ -4,16 +4,29 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from shelfwise.llm import vector_codes
+from shelfwise.llm import ranked_search, set_join, vector_codes
+from shelfwise.llm.common import documents
 from shelfwise.sources.bindings import table
 
 
+def op11_best_position(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The ten best documents of every benchmark item."""
+    return ranked_search.search(documents(spark, sf_dir), table(spark, sf_dir, "benchmark"))
+
+
+def op12_token_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Class of every document by links at 0.8 of five-word shingles."""
+    return set_join.classes(documents(spark, sf_dir))
+
+
 def op13_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Code, error and codebook digest of every vector."""
     return vector_codes.codes(table(spark, sf_dir, "embeddings"))
 
 
 QUERIES = {
+    "op11_best_position": op11_best_position,
+    "op12_token_groups": op12_token_groups,
     "op13_vector_codes": op13_vector_codes,
 }
 
@@ -62,5 +75,57 @@ FROM kept JOIN coded USING (row), digest
 
 
 SQL = {
+    "op11_best_position": """
+WITH worded AS (
+  SELECT row_number() OVER () AS row, doc_id,
+    regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS t
+  FROM documents),
+totals AS (SELECT count_if(len(t) > 0) AS n_docs, CAST(sum(len(t)) AS BIGINT) AS n_all FROM worded),
+counted AS (
+  SELECT row, term, CAST(count(*) AS BIGINT) AS tf FROM (SELECT row, unnest(t) AS term FROM worded) GROUP BY row, term),
+weights AS (
+  SELECT term, CAST(floor(1000 * ln((2.0::DOUBLE * any_value(n_docs) + 2) / (2.0::DOUBLE * count(*) + 1))) AS BIGINT) AS w
+  FROM counted, totals GROUP BY term),
+asked AS (
+  SELECT item_id, q, term, count(*) AS times FROM (
+    SELECT item_id, q, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+      '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term
+    FROM (SELECT *, row_number() OVER () AS q FROM (SELECT DISTINCT item_id, text FROM benchmark WHERE text IS NOT NULL)))
+  GROUP BY item_id, q, term),
+scored AS (
+  SELECT a.item_id, a.q, c.row, d.doc_id,
+    CAST(sum(a.times * w.w * ((1000000000 * c.tf) // (1000 * c.tf + 8 * (100 - 75 + (75 * len(d.t) * n_docs) // n_all)))) AS BIGINT) AS score
+  FROM asked a JOIN weights w USING (term) JOIN counted c USING (term) JOIN worded d USING (row), totals
+  GROUP BY a.item_id, a.q, c.row, d.doc_id),
+ranked AS (
+  SELECT *, CAST(row_number() OVER (PARTITION BY q ORDER BY score DESC, doc_id NULLS LAST) AS INTEGER) AS rank FROM scored WHERE score > 0)
+SELECT item_id, rank, doc_id, score FROM ranked WHERE rank <= 10
+""",
+    "op12_token_groups": """
+WITH RECURSIVE worded AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+    '[^\\x20\\x09-\\x0D]+') AS w
+  FROM documents),
+runs AS (
+  SELECT doc_id, list_distinct(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS s
+  FROM worded),
+copies AS (SELECT min(doc_id) AS node, s FROM (SELECT doc_id, list_sort(s) AS s FROM runs) WHERE len(s) > 0 GROUP BY s),
+parts AS (SELECT node, len(s) AS n, md5_number(unnest(s)) AS shingle FROM copies),
+common AS (
+  SELECT a.node AS a, b.node AS b, any_value(a.n) + any_value(b.n) AS n, count(*) AS inter
+  FROM parts a JOIN parts b ON a.shingle = b.shingle AND a.node < b.node GROUP BY a.node, b.node),
+links AS (
+  SELECT a, b FROM common WHERE 100 * inter >= 80 * (n - inter)
+  UNION SELECT b, a FROM common WHERE 100 * inter >= 80 * (n - inter)),
+reached AS (
+  SELECT node AS a, node AS b FROM copies
+  UNION SELECT r.a, l.b FROM reached r JOIN links l ON r.b = l.a),
+named AS (SELECT a AS node, min(b) AS component_id FROM reached GROUP BY a),
+of_set AS (SELECT c.s, n.component_id FROM copies c JOIN named n USING (node))
+SELECT r.doc_id, CAST(len(r.s) AS BIGINT) AS n_shingles, coalesce(o.component_id, r.doc_id) AS component_id
+FROM runs r LEFT JOIN of_set o ON list_sort(r.s) = o.s
+""",
     "op13_vector_codes": _vector_codes_sql(),
 }
