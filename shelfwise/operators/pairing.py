@@ -7,7 +7,7 @@ of the rows, they must not land in one task: members are spread over
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 
@@ -34,15 +34,18 @@ def chunk_pair_sides(rows: DataFrame, chunk: str, chunks: str) -> tuple[DataFram
     return left.drop(chunk, chunks), right.drop(chunk, chunks)
 
 
+def parts(spark: SparkSession) -> int:
+    """Partitions for a join that multiplies rows: as set, and no fewer than there are cores."""
+    return max(int(spark.conf.get("spark.sql.shuffle.partitions")), spark.sparkContext.defaultParallelism)
+
+
 def spread(rows: DataFrame, *keys: str) -> DataFrame:
     """Hash-partitions the input of a join that multiplies rows.
 
     Partition sizes before such a join say little about the work after it, so they must not be merged
     by size; a given partition number is kept as it is.
     """
-    spark = rows.sparkSession
-    configured = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    return rows.repartition(max(configured, spark.sparkContext.defaultParallelism), *keys)
+    return rows.repartition(parts(rows.sparkSession), *keys)
 
 
 def once(left_member: str, right_member: str) -> Column:

@@ -13,7 +13,8 @@ from typing import NamedTuple
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfwise.operators import pairing, text
+from shelfwise.operators import pairing, recs, text
+from shelfwise.session import run_dir
 
 SLACK = 1e-9
 CHUNK = 512
@@ -252,11 +253,16 @@ def top_similar(sim: Similarity, asked: DataFrame, k: int) -> DataFrame:
 def ranked_groups(sim: Similarity, k: int | None = None) -> DataFrame:
     """grp, rank, simGrp, score: all similar groups of every group, best first, or the first k.
 
-    With ``members`` this holds every product's whole ranked list; copies of a product share one.
+    With ``members`` this holds every product's whole ranked list; copies of a product share one.  Whole lists are
+    ranked over all tasks, since one group may be like a third of all others.
     """
-    order = Window.partitionBy("grp").orderBy(F.round("score", RANK_DIGITS).desc(), "simGrp")
-    rows = sim.pairs.withColumn("rank", F.row_number().over(order))
-    return (rows if k is None else rows.where(F.col("rank") <= k)).select("grp", "rank", "simGrp", "score")
+    best_first = [F.round("score", RANK_DIGITS).desc(), F.col("simGrp")]
+    if k is None:
+        rows = recs.whole_ranks(sim.pairs, "grp", best_first, run_dir(sim.pairs.sparkSession, "ranked-pairs"))
+    else:
+        order = Window.partitionBy("grp").orderBy(*best_first)
+        rows = sim.pairs.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k)
+    return rows.select("grp", "rank", "simGrp", "score")
 
 
 def stored(sim: Similarity, path: str) -> Similarity:

@@ -40,6 +40,13 @@ def upsert_ratings(base: DataFrame, updates: DataFrame) -> DataFrame:
     )
 
 
+def replace_pairs(base: DataFrame, updates: DataFrame) -> DataFrame:
+    """``base`` with the pairs (user, product) that ``updates`` name as ``upsert_ratings`` leaves them; other rows stay as they are."""
+    named = updates.select(*PAIR).distinct()
+    rest = base.join(named, PAIR, "left_anti").select(*PAIR, "score", "timestamp")
+    return rest.unionByName(upsert_ratings(base.join(named, PAIR, "left_semi"), updates))
+
+
 def already_rated(requests: DataFrame, ratings: DataFrame) -> DataFrame:
     """Requests with ``known``: whether their (user, product) is rated already."""
     rated = ratings.select(*PAIR).distinct().withColumn("known", F.lit(True))

@@ -6,20 +6,21 @@ Each one reads whole tables.  Doubles are rounded to six decimals on output.
 from __future__ import annotations
 
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from shelfwise import schemas
 from shelfwise.functions import scalars as fn
-from shelfwise.operators import als, dense, itemcf, loglines, online, similarity, stats, text, upserts
+from shelfwise.operators import als, dense, itemcf, loglines, name_search, online, similarity, stats, text, upserts
 from shelfwise.operators import recs as rc
-from shelfwise.plans import serving
+from shelfwise.plans import jobs, serving
 from shelfwise.session import run_dir
 from shelfwise.sources import bindings as src
-from shelfwise.sources import files, streams, tables
+from shelfwise.sources import files, streams, tables, topics
+from shelfwise.sources.keyed import KeyedTable
 from shelfwise.streaming import pipelines
-from shelfwise.streaming.keyed_table import KeyedTable
 
 DIGITS = 6
 TOP = 20
@@ -45,6 +46,21 @@ def average_products(spark: SparkSession, sf: str) -> DataFrame:
     return stats.average_scores(src.ratings(spark, sf)).select("productId", six("avg"))
 
 
+def statistics_kept(spark: SparkSession, sf: str) -> DataFrame:
+    """Statistics from totals that ten loads and the form posts kept up to date, without reading the ratings again."""
+    store = tables.Warehouse(spark, run_dir(spark, "kept"))
+    ratings = src.ratings(spark, sf)
+    part = F.pmod(F.xxhash64("userId", "timestamp"), F.lit(10))
+    store.load(src.products(spark, sf), ratings.where(part == 0))
+    for n in range(1, 10):
+        store.add_ratings(ratings.where(part == n), n)
+    jobs.rate(store, src.rating_requests(spark, sf), 10)
+    known = store.read("RatingTotals")
+    counts, means = stats.most_rated_of(known), stats.average_scores_of(known)
+    months = known.groupBy("productId").agg(F.count(F.lit(1)).alias("months"), F.max("month").alias("newest"))
+    return counts.join(means, "productId").join(months, "productId").select("productId", "count", six("avg"), "months", "newest")
+
+
 def top5_average(spark: SparkSession, sf: str) -> DataFrame:
     return stats.top_n(stats.average_scores(src.ratings(spark, sf)), 5).select("productId", six("avg"))
 
@@ -208,6 +224,37 @@ def _list_checks(rows: DataFrame, key: str, item: str, a: DataFrame, b: DataFram
     )
 
 
+#: Users whose lists are held against every product, by a hash of the id.
+CHECKED_USERS = 50
+
+
+def _best_checks(lists: DataFrame, users: DataFrame, items: DataFrame) -> int:
+    """How many products beat the last place of a checked user's list, or would fill a short one, and are not in it."""
+    asked = users.orderBy(F.xxhash64("id"), "id").limit(CHECKED_USERS).collect()
+    # A stated set of users against all products: each product meets the few users as constants.
+    constants = F.array(*[F.struct(F.lit(r.id).alias("userId"), F.array(*[F.lit(x) for x in r.vector]).alias("v")) for r in asked])
+    dot = F.aggregate(F.zip_with("u.v", "vector", lambda p, q: p * q), F.lit(0.0), lambda s, x: s + x)
+    every = items.select("id", "vector", F.explode(constants).alias("u")).select("u.userId", F.col("id").alias("productId"), dot.alias("value"))
+    last = lists.groupBy("userId").agg(F.count(F.lit(1)).alias("n"), F.min("score").alias("last"))
+    floor = F.when(F.col("n") == TOP, F.col("last")).otherwise(0.0)
+    better = every.join(last, "userId", "left").where(F.col("value") > floor + 1e-6)
+    return better.join(lists.select("userId", "productId"), ["userId", "productId"], "left_anti").count()
+
+
+def als_best_checks(spark: SparkSession, sf: str) -> DataFrame:
+    """Whether the lists hold the best twenty, and whether the fit predicts what it was fitted to better than the mean does."""
+    train, test = _hash_split(src.ratings(spark, sf))
+    model = als.fit(train, 5, 10, 0.1)
+    missed = _best_checks(als.user_top(model, TOP), als.user_vectors(model), als.item_vectors(model))
+    seen = train.select("userId", "productId").distinct()
+    fitted = als.rmse(train, als.predict(model, seen)).first().rmse
+    mean = als.rmse(train, seen.withColumn("prediction", F.lit(train.agg(F.avg("score")).first()[0]))).first().rmse
+    unseen = als.predict(model, test.select("userId", "productId").distinct())
+    return unseen.agg((F.count(F.lit(1)) > 0).alias("predicts")).select(
+        F.lit(missed).cast("bigint").alias("missed"), F.lit(fitted < mean).alias("better_than_mean"), "predicts"
+    )
+
+
 def als_checks(spark: SparkSession, sf: str) -> DataFrame:
     """What must hold of the lists of any fit: per kind of list, how many and whether they follow from the factors."""
     model = _model(spark, sf)
@@ -333,6 +380,18 @@ def stream_rating_filter(spark: SparkSession, sf: str) -> DataFrame:
     return spark.read.schema("value string").parquet(f"{root}/messages")
 
 
+def stream_topic_filter(spark: SparkSession, sf: str) -> DataFrame:
+    """The log filter from a topic of two partitions: half of it, then from the checkpoint what came since."""
+    root = run_dir(spark, "topic")
+    lines = src.log(spark, sf)
+    late = F.pmod(F.hash("value"), F.lit(2)) == 1
+    for part in (lines.where(~late), lines.where(late)):
+        topics.append(part, f"{root}/topic", 2)
+        stream = topics.topic_stream(spark, f"{root}/topic", "earliest").select("value")
+        pipelines.filter_log(stream, "parquet", f"{root}/checkpoint", every=None, path=f"{root}/messages").awaitTermination()
+    return spark.read.schema("value string").parquet(f"{root}/messages")
+
+
 def stream_recency_queue(spark: SparkSession, sf: str) -> DataFrame:
     root = run_dir(spark, "recency")
     table = KeyedTable(spark, f"{root}/queues", schemas.QUEUES, "userId")
@@ -421,6 +480,34 @@ def product_search(spark: SparkSession, sf: str) -> DataFrame:
     return _detail(serving.search_products(src.products(spark, sf), _averages(spark, sf), "blue|ring"))
 
 
+#: Patterns with one literal, several, a part of one, and none.
+PATTERNS = ("blue|ring", "^green.*ro(se|yal)", "(light )+steel", "a[a-e]n", "pi")
+
+
+def product_search_index(spark: SparkSession, sf: str) -> DataFrame:
+    """Products by pattern, found through the trigrams of their names."""
+    path = run_dir(spark, "trigrams")
+    products, averages = src.products(spark, sf), _averages(spark, sf)
+    name_search.save(name_search.postings(products, "productId", "name"), path)
+    posted = spark.read.schema("trigram string, id bigint").parquet(path)
+    found = [
+        _detail(serving.search_by_index(products, posted, averages, p).withColumn("pattern", F.lit(p)), "pattern") for p in PATTERNS
+    ]
+    return reduce(DataFrame.unionByName, found)
+
+
+def user_recs_point(spark: SparkSession, sf: str) -> DataFrame:
+    """Lists of the vectors that label 0 names, looked up in a table sorted by user."""
+    path = run_dir(spark, "user-recs")
+    factors = src.vectors(spark, sf)
+    lists = rc.as_recs(dense.top_products(factors, factors, TOP), "userId", "productId", "score")
+    tables.save_for_look_up(lists, path, "userId")
+    asked = src.table(spark, sf, "embeddings").where("label = 0").select(F.col("vec_id").alias("userId"))
+    stored = spark.read.schema(schemas.USER_RECS).parquet(path)
+    rows = serving.recommendations_of(asked, stored, src.products(spark, sf), _averages(spark, sf), TOP)
+    return _detail(rows.withColumn("score", six("score")), "userId", "rank", "score")
+
+
 def itemcf_neighbours(spark: SparkSession, sf: str) -> DataFrame:
     lists = itemcf.rec_table(itemcf.top_similar(src.ratings(spark, sf), TOP))
     rows = serving.product_neighbours(
@@ -485,15 +572,16 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in (
         rate_more_products, rate_more_recently, average_products, top5_average, distinct_users_products,
+        statistics_kept,
         itemcf_top20, itemcf_recs_list, sim_map_lookup, vector_cosine_pairs, vector_groups, factor_scores_top20,
         tfidf_terms, content_groups, content_similar, content_ranked_groups, content_top20,
         content_similar_hashed, content_similar_md5,
-        rmse_eval, grid_argmin, als_recommend, als_item_similarity, als_checks, als_grid_search, als_grid_checks,
+        rmse_eval, grid_argmin, als_recommend, als_item_similarity, als_checks, als_best_checks, als_grid_search, als_grid_checks,
         rating_log_filter, rating_log_parse, rating_log_rejects, rating_log_lines,
         recent_ratings_per_user, candidate_products, online_rerank,
-        stream_rating_filter, stream_recency_queue, stream_rerank_upsert,
+        stream_rating_filter, stream_topic_filter, stream_recency_queue, stream_rerank_upsert,
         rating_upsert, rating_queues, rating_exists, user_prefs_update,
-        hot_products, rate_more_details, product_info, product_search,
+        hot_products, rate_more_details, product_info, product_search, product_search_index, user_recs_point,
         itemcf_neighbours, content_neighbours, user_recs_lookup, stream_recs_lookup,
         username_hash, json_roundtrip, load_products_text, load_ratings_csv,
     )

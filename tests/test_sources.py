@@ -1,3 +1,4 @@
+from shelfwise import schemas
 from shelfwise.operators import loglines, upserts
 from shelfwise.plans import jobs, serving
 from shelfwise.session import run_dir
@@ -85,7 +86,16 @@ def test_jobs_hand_over_through_tables(spark):
     jobs.offline(store)
     assert store.read("ContentRankedGroups").count() == store.read("ContentGroupPairs").count() > 0
     posts = spark.createDataFrame([(0, 1, 9.0, 1_600_000_000), (99, 1, 4.0, 1_600_000_000)], "userId long, productId long, uiScore double, timestamp long")
-    jobs.rate(store, posts)
+    rating_files = lambda: {f.split("userBucket=")[1] for f in store.ratings_by_user().scan().inputFiles()}
+    before = rating_files()
+    touched = jobs.rate(store, posts, 1)
+    changed = {int(f.split("/")[0]) for f in before ^ rating_files()}
+    assert changed == set(touched) and len(touched) == 2
+    assert {r.userId for r in store.keyed("RatingQueues").read().collect()} == {0, 99}
+    assert store.read("RatingLog", schemas.MESSAGE).count() == 2
+    whole = store.read("Rating").collect()
+    assert jobs.rate(store, posts, 1) == touched  # the same batch again
+    assert sorted(store.read("Rating").collect()) == sorted(whole)
     assert store.read("Rating").count() == len(ratings) + 1 + (1 if store.read("Rating").where("userId = 0 AND productId = 1").first().timestamp == 1_600_000_000 else 0)
     assert store.read("Rating").where("userId = 0 AND productId = 1").first().score == 4.5
     params = tables.best_params(store.read("OptedParams"))
@@ -106,9 +116,9 @@ def test_jobs_hand_over_through_tables(spark):
 
 def test_bucketed_table_joins_without_exchange(spark):
     rows = spark.range(1000).selectExpr("id % 50 as productId", "id as userId")
-    tables.save_bucketed(rows, "bucketed_ratings", "productId", 4)
-    tables.save_bucketed(spark.range(50).selectExpr("id as productId", "id as x"), "bucketed_products", "productId", 4)
-    joined = spark.table("bucketed_ratings").hint("merge").join(spark.table("bucketed_products"), "productId")
+    ratings = tables.save_bucketed(rows, run_dir(spark, "bucketed"), "productId", 4)
+    products = tables.save_bucketed(spark.range(50).selectExpr("id as productId", "id as x"), run_dir(spark, "bucketed"), "productId", 4)
+    joined = ratings.hint("merge").join(products, "productId")
     plan = joined._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan
     assert joined.count() == 1000
