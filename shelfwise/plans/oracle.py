@@ -289,7 +289,7 @@ BODIES = {
     "product_search": f"SELECT {DETAILS} FROM details WHERE regexp_matches(name, 'blue|ring')",
     "product_search_index": f"""
         SELECT pattern, {DETAILS} FROM details
-        JOIN (SELECT unnest(['blue|ring', '^green.*ro(se|yal)', '(light )+steel', 'a[a-e]n', 'pi']) AS pattern)
+        JOIN (SELECT unnest(['blue|ring', '^large.*(plate|anvil)$', '(small )+bolt', 'g[a-i]zmo', 'ol']) AS pattern)
         ON regexp_matches(name, pattern)""",
     "user_recs_point": f"""
         SELECT userId, CAST(rank AS INTEGER) AS rank, round(score, 6) AS score, {DETAILS}

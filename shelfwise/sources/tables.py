@@ -55,11 +55,11 @@ class Warehouse:
         self.overwrite("Product", products)
         by_user = self.ratings_by_user(buckets)
         by_user.overwrite(ratings, buckets)
-        self.totals().overwrite(stats.totals(by_user.read()))
+        self.totals(buckets).overwrite(stats.totals(by_user.read()), buckets)
 
-    def totals(self) -> KeyedTable:
+    def totals(self, buckets: int = BUCKETS) -> KeyedTable:
         """What the statistics are made of, by product; kept up to date by every job that changes ratings."""
-        return self.keyed("RatingTotals", key="productId")
+        return self.keyed("RatingTotals", key="productId", buckets=buckets)
 
     def add_totals(self, change: DataFrame, batch: int | None = None) -> None:
         """Merges changed totals into the folders of their products."""
