@@ -74,25 +74,42 @@ QUERIES = {
     "op10_byte_bpe": op10_byte_bpe,
 }
 
+
 def _secrets_sql() -> str:
-    """The scan in SQL, kind by kind: gaps and matches alternate, so ends are running sums."""
+    """The scan in SQL, kind by kind: gaps and matches alternate, so ends are running sums. A private key is its header and
+    the key text that leads the gap after it."""
     quoted = {kind: pattern.replace("'", "''") for kind, pattern in secret_scan.KINDS.items()}
+    apart = r"""[ \t\n\x0B\f\r"'']"""
+    end = secret_scan.KEY_END.replace(r"\A", "^")
+    body, plain = "split_part(g, '-----', 1)", r"regexp_replace(split_part(g, '-----', 1), '\\[nr]', '  ', 'g')"
+    last = f"regexp_extract(substring(g, length({body}) + 1, 64), '{end}', 0)"
+    runs = f"regexp_extract({plain}, '^(?:{apart}*[A-Za-z0-9+/=]{{16,}})*', 0)"
+    key = (
+        f"CASE WHEN NOT regexp_matches({body}, '{secret_scan.KEY_RUN}') THEN '' WHEN {last} <> '' THEN {body} || {last} "
+        f"ELSE substring({body}, 1, length({runs})) END"
+    )
     each = "\nUNION ALL\n".join(
-        f"SELECT row, doc_id, owner, '{kind}' AS kind, {place} AS place, "
-        f"regexp_extract_all(text, '{pattern}') AS matches, string_split_regex(text, '{pattern}') AS gaps "
+        f"SELECT row, doc_id, owner, repository, '{kind}' AS kind, {place} AS place, "
+        f"regexp_extract_all(text, '{pattern}') AS heads, string_split_regex(text, '{pattern}') AS between "
         f"FROM docs WHERE regexp_matches(text, '{pattern}')"
         for place, (kind, pattern) in enumerate(quoted.items())
     )
     return f"""
 WITH docs AS (
-  SELECT row_number() OVER () AS row, doc_id, coalesce(text, '') AS text, coalesce('o' || source, '') AS owner FROM documents),
-kinds AS ({each}),
+  SELECT row_number() OVER () AS row, doc_id, coalesce(text, '') AS text, coalesce('o' || source, '') AS owner,
+    md5(coalesce(text, '')) AS repository FROM documents),
+found AS ({each}),
+kinds AS (
+  SELECT *, list_transform(between[2:], lambda g: CASE WHEN kind = 'private' THEN {key} ELSE '' END) AS keys FROM found),
 each AS (
-  SELECT row, doc_id, owner, kind, place, i, matches[i] AS match, length(gaps[i]) AS gap
-  FROM (SELECT *, unnest(range(1, len(matches) + 1)) AS i FROM kinds)),
+  SELECT row, doc_id, owner, repository, kind, place, i, heads[i] || keys[i] AS match,
+    length(between[i]) - CASE WHEN i > 1 THEN length(keys[i - 1]) ELSE 0 END AS gap
+  FROM (SELECT *, unnest(range(1, len(heads) + 1)) AS i FROM kinds)),
 placed AS (
   SELECT *, CAST(sum(gap + length(match)) OVER (PARTITION BY row, kind ORDER BY i) AS BIGINT) AS stop,
-    CASE WHEN kind = 'assign' THEN regexp_extract(match, '{quoted["assign"]}', 2) ELSE match END AS secret
+    CASE WHEN kind = 'assign' THEN regexp_extract(match, '{quoted["assign"]}', 2)
+      WHEN kind = 'private' THEN coalesce(nullif(regexp_replace(match, '{secret_scan.NOT_SECRET}', '', 'g'), ''), match)
+      ELSE match END AS secret
   FROM each),
 passed AS (
   SELECT *, stop - length(match) AS start FROM placed
@@ -100,10 +117,10 @@ passed AS (
     WHEN 'random' THEN regexp_matches(match, '[a-z]') AND regexp_matches(match, '[A-Z]') AND regexp_matches(match, '[0-9]')
     ELSE true END),
 owned AS (
-  SELECT secret, count(DISTINCT doc_id) AS n_repositories, count(DISTINCT owner) AS n_owners FROM passed GROUP BY secret),
+  SELECT secret, count(DISTINCT repository) AS n_repositories, count(DISTINCT owner) AS n_owners FROM passed GROUP BY secret),
 judged AS (
   SELECT p.*, kind || ':' || start || ':' || stop AS label,
-    n_owners <= {secret_scan.LIVE_OWNERS} AND n_repositories <= {secret_scan.LIVE_REPOSITORIES}
+    n_owners <= {secret_scan.LIVE_OWNERS}
       AND (kind IN ('private', 'login') OR len(list_distinct(string_split(secret, ''))) >= {secret_scan.LIVE_CHARACTERS}) AS live
   FROM passed p JOIN owned USING (secret)),
 listed AS (

@@ -1,9 +1,9 @@
 """Secret scan with corpus-wide ownership frequency, in DataFrame functions only.
 
 Candidates are found by kind in every whole text. The hash of each candidate's secret part is
-counted over the corpus: in how many repositories (documents) and with how many owners (sources) it
-occurs. A secret that many share is an example; one that stays with a single owner in few
-repositories looks live. The three base kinds are always reported, the other kinds only where they
+counted over the corpus: in how many repositories (different texts: equal ones are copies of one) and with how many
+owners (sources) it occurs. A secret that several owners share is an example; one that stays with a single owner looks
+live, however often that owner repeats it. The three base kinds are always reported, the other kinds only where they
 look live. A private key reaches from its header through the text of the key to the END line; its secret is the text
 of the key, since all keys of a type have the same header.
 
@@ -39,9 +39,8 @@ KEY_RUN = r"[A-Za-z0-9+/=]{16}"
 NO_KEY = r"""[^A-Za-z0-9+/=\s"']|(?<![A-Za-z0-9+/=])(?![A-Za-z0-9+/=]{16})[A-Za-z0-9+/=]"""
 NOT_SECRET = r"-----(?:BEGIN|END) [A-Z ]{0,32}PRIVATE KEY-----|\\[nr]|[^A-Za-z0-9+/=]"
 MIN_ASSIGNED = 6
-#: A candidate looks live up to so many owners and repositories, and from so many different characters.
+#: A candidate looks live up to so many owners, and from so many different characters.
 LIVE_OWNERS = 1
-LIVE_REPOSITORIES = 4
 LIVE_CHARACTERS = 8
 
 
@@ -79,21 +78,22 @@ def _found(text: Column, kind: str) -> Column:
 
 
 def candidates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", owner_col: str = "source") -> DataFrame:
-    """row, doc_id, owner, found: one row per document, candidates of all kinds as texts and the lengths between."""
+    """row, doc_id, owner, repository, found: one row per document, candidates of all kinds as texts and the lengths between."""
     text = F.coalesce(F.col(text_col), F.lit(""))
     return docs.select(
         F.monotonically_increasing_id().alias("row"),
         F.col(id_col).alias("doc_id"),
         F.coalesce(F.concat(F.lit("o"), F.col(owner_col)), F.lit("")).alias("owner"),
+        F.md5(text).alias("repository"),
         F.filter(F.array(*[_found(text, kind) for kind in KINDS]), lambda x: x.isNotNull()).alias("found"),
     )
 
 
 def spans(found: DataFrame) -> DataFrame:
-    """row, doc_id, owner, kind, place, start, end, secret: one row per candidate that passes its rule."""
-    kinds = found.where(F.size("found") > 0).select("row", "doc_id", "owner", F.explode("found").alias("f"))
+    """row, doc_id, owner, repository, kind, place, start, end, secret: one row per candidate that passes its rule."""
+    kinds = found.where(F.size("found") > 0).select("row", "doc_id", "owner", "repository", F.explode("found").alias("f"))
     each = kinds.select(
-        "row", "doc_id", "owner", "f.kind", "f.place", F.posexplode(F.arrays_zip("f.matches", "f.gaps")).alias("i", "m")
+        "row", "doc_id", "owner", "repository", "f.kind", "f.place", F.posexplode(F.arrays_zip("f.matches", "f.gaps")).alias("i", "m")
     ).where(F.col("m.matches").isNotNull())
     order = Window.partitionBy("row", "kind").orderBy("i")
     length = F.char_length("m.matches")
@@ -116,15 +116,15 @@ def spans(found: DataFrame) -> DataFrame:
         .otherwise(True)
     )
     return placed.withColumn("secret", secret).where(passes).select(
-        "row", "doc_id", "owner", "kind", "place", (F.col("end") - F.col("length")).alias("start"), "end", "secret"
+        "row", "doc_id", "owner", "repository", "kind", "place", (F.col("end") - F.col("length")).alias("start"), "end", "secret"
     )
 
 
 def ownership(seen: DataFrame) -> DataFrame:
     """secret_hash, n_repositories, n_owners over the whole corpus."""
-    pairs = seen.groupBy("secret_hash", "owner", "doc_id").agg(F.count("*").alias("times"))
+    pairs = seen.groupBy("secret_hash", "owner", "repository").agg(F.count("*").alias("times"))
     return pairs.groupBy("secret_hash").agg(
-        F.count_distinct("doc_id").alias("n_repositories"), F.count_distinct("owner").alias("n_owners")
+        F.count_distinct("repository").alias("n_repositories"), F.count_distinct("owner").alias("n_owners")
     )
 
 
@@ -135,7 +135,6 @@ def judged(found: DataFrame) -> DataFrame:
     return seen.join(ownership(seen), "secret_hash").withColumn(
         "live",
         (F.col("n_owners") <= LIVE_OWNERS)
-        & (F.col("n_repositories") <= LIVE_REPOSITORIES)
         & ((F.col("kind").isin("private", "login")) | varied),
     )
 
