@@ -3,11 +3,13 @@
 A text's terms are its words and their first three to six letters, each hashed to one of ``2**HASH_BITS``
 buckets and present or not; two or three different words in one bucket are terms of their own. The machine scores ``w0 + sum of w + sum over pairs of <v, v>`` of the
 buckets present, so two terms together (an insult and whom it is aimed at) can say more than their weights
-added. It is fitted to the ``n_terms`` terms that tell the classes apart best
-(in at least ``MIN_TEXTS`` texts, by ``MIN_STRENGTH`` standard deviations).
+added. It is fitted in two steps. A first machine takes all terms of at least ``MIN_TEXTS`` texts, so terms that tell nothing
+alone but much together are learnt too. The second is fitted to those ``N_PAIRED`` of them that interact most, by
+the length of their factors times how much their presence varies, and to the ``n_terms`` that tell the classes apart best
+alone (by ``MIN_STRENGTH`` standard deviations).
 
 Bounds, as parameters: about ``sample`` labelled texts (by a hash of the id, all if there are fewer),
-``n_terms`` terms, ``FACTORS`` numbers each. Scoring reads whole texts.
+``n_terms`` and ``N_PAIRED`` terms, ``FACTORS`` numbers each. Scoring reads whole texts.
 
 Edge cases: a null or empty text has no terms and gets the score of the constant alone; a null label is no
 label; several labels of an id all count, scores do not use them; without any labels
@@ -36,8 +38,11 @@ SAMPLE = 12_000
 N_TERMS = 4096
 MIN_TEXTS = 4
 MIN_STRENGTH = 4.0
+N_PAIRED = 128
 FACTORS = 6
 EPOCHS = 250
+FIRST_EPOCHS = 10
+FIRST_BATCH = 256
 THRESHOLD = 0.7
 CACHE = 100_000
 FIT_CACHE = 20_000
@@ -140,6 +145,64 @@ def fit(rows: list[list[int]], labels: list[int], n_terms: int, epochs: int = EP
     return w0, w[:n_terms], v[:n_terms]
 
 
+def first_factors(flat: np.ndarray, lengths: np.ndarray, y: np.ndarray, n_terms: int, rate: float = 0.1, decay: float = 1e-3) -> np.ndarray:
+    """Factors of a machine over all terms, by small batches with a step of its own for each term.
+
+    ``flat`` are the terms (0 to ``n_terms``) of all rows, ``lengths`` how many each row has, ``y`` the labels."""
+    rng = np.random.default_rng(7)
+    starts = np.cumsum(lengths) - lengths
+    w, v = np.zeros(n_terms), rng.normal(0, 0.02, (n_terms, FACTORS))
+    w0 = float(np.log((y.mean() + 1e-3) / (1 - y.mean() + 1e-3)))
+    past_w, past_v, past_0 = np.full(n_terms, 1e-2), np.full(n_terms, 1e-2), 1e-2
+    full = np.flatnonzero(lengths > 0)
+    for _ in range(FIRST_EPOCHS):
+        order = rng.permutation(full)
+        for at in range(0, len(order), FIRST_BATCH):
+            rows = order[at : at + FIRST_BATCH]
+            size = lengths[rows]
+            heads = np.cumsum(size) - size
+            terms = flat[np.repeat(starts[rows] - heads, size) + np.arange(size.sum())]
+            here, place = np.unique(terms, return_inverse=True)
+            of_row = np.repeat(np.arange(len(rows)), size)
+            own = v[here][place]
+            sums = np.add.reduceat(own, heads)
+            z = w0 + np.add.reduceat(w[here][place], heads) + 0.5 * ((sums**2).sum(1) - np.add.reduceat((own**2).sum(1), heads))
+            slope = (1 / (1 + np.exp(-np.clip(z, -30, 30))) - y[rows]) / len(rows)
+            each = slope[of_row]
+            gw = np.bincount(place, each, len(here)) + decay * w[here]
+            gv = np.stack([np.bincount(place, each * (sums[of_row, f] - own[:, f]), len(here)) for f in range(FACTORS)], 1) + decay * v[here]
+            past_w[here] += gw * gw
+            past_v[here] += (gv * gv).mean(1)
+            past_0 += slope.sum() ** 2
+            w[here] -= rate * gw / np.sqrt(past_w[here])
+            v[here] -= rate * gv / np.sqrt(past_v[here])[:, None]
+            w0 -= rate * float(slope.sum()) / past_0**0.5
+    return v
+
+
+def choose(rows: list[np.ndarray], y: np.ndarray, n_terms: int = N_TERMS, n_paired: int = N_PAIRED) -> list[int]:
+    """The terms that the machine is fitted to, rising. ``rows``: distinct terms of each text."""
+    lengths = np.array([len(r) for r in rows])
+    terms, place, n = np.unique(np.concatenate(rows), return_inverse=True, return_counts=True)
+    often = n >= MIN_TEXTS
+    if not often.any():
+        return []
+    of_row = np.repeat(np.arange(len(rows)), lengths)
+    total, ones = len(y), max(float(y.sum()), 1.0)
+    with_one = np.bincount(place, y[of_row], len(terms))
+    share = n / total
+    gap = with_one / ones - (n - with_one) / max(total - y.sum(), 1.0)
+    strength = np.abs(gap) / np.sqrt(share * (1 - share) * (1 / ones + 1 / max(total - y.sum(), 1.0)) + 1e-12)
+    alone = np.flatnonzero(often & (strength >= MIN_STRENGTH))
+    alone = alone[np.lexsort((terms[alone], -strength[alone]))][:n_terms]
+    number = np.cumsum(often) - 1
+    kept = often[place]
+    v = first_factors(number[place[kept]], np.bincount(of_row[kept], minlength=len(rows)), y, int(often.sum()))
+    reach = np.sqrt((v**2).sum(1) * (share * (1 - share))[often])
+    paired = np.flatnonzero(often)[np.argsort(-reach, kind="stable")[:n_paired]]
+    return sorted(terms[np.union1d(alone, paired)].tolist())
+
+
 def learn(
     docs: DataFrame,
     labels: DataFrame,
@@ -163,23 +226,17 @@ def learn(
             yield texts.map(of)
 
     texts = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))
-    known = texts.where(draw).join(marks.where(draw), "doc_id").select("doc_id", "toxic", terms("text").alias("terms")).persist()
-    n, ones = known.agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
-    if not n:
+    known = texts.where(draw).join(marks.where(draw), "doc_id").select("doc_id", "toxic", terms("text").alias("terms"))
+    table = known.orderBy("doc_id", "toxic", F.xxhash64("terms")).select("toxic", "terms").toArrow()
+    if not table.num_rows:
         return Machine({}, None, np.zeros(0), np.zeros((0, FACTORS)))
-    held = known.select("toxic", F.explode("terms").alias("term")).groupBy("term").agg(
-        F.sum("toxic").alias("with_one"), F.count("*").alias("n")
-    )
-    share = F.col("n") / F.lit(float(n))
-    gap = F.col("with_one") / F.lit(max(ones, 1.0)) - (F.col("n") - F.col("with_one")) / F.lit(max(n - ones, 1.0))
-    spread = F.sqrt(share * (1 - share) * (1 / max(ones, 1.0) + 1 / max(n - ones, 1.0)) + 1e-12)
-    strength = F.abs(gap) / spread  # standard deviations
-    best = held.where((F.col("n") >= MIN_TEXTS) & (strength >= MIN_STRENGTH)).orderBy(F.desc(strength), "term").limit(n_terms).collect()
-    chosen = {r["term"]: i for i, r in enumerate(best)}
-    wanted = F.array(*[F.lit(t) for t in chosen]) if chosen else F.array().cast("array<int>")
-    rows = known.select("doc_id", "toxic", F.array_intersect("terms", wanted).alias("terms")).orderBy("doc_id", "toxic").collect()
-    known.unpersist()
-    w0, w, v = fit([[chosen[t] for t in r["terms"]] for r in rows], [r["toxic"] for r in rows], len(chosen))
+    y = table["toxic"].to_numpy().astype(float)
+    rows = [r for chunk in table["terms"].chunks for r in np.split(chunk.flatten().to_numpy(), np.cumsum(chunk.value_lengths().to_numpy())[:-1])]
+    picked = choose(rows, y, n_terms)
+    chosen = {t: i for i, t in enumerate(picked)}
+    wanted = np.array(picked, np.int64)
+    places = [np.flatnonzero(np.isin(wanted, r)).tolist() for r in rows]
+    w0, w, v = fit(places, y.astype(int).tolist(), len(chosen))
     return Machine(chosen, w0, w, v)
 
 
