@@ -7,6 +7,10 @@ every segment, the values at distance ``r`` from the query's own. After it every
 distance is no larger is finished, ties included; the others go on. A pair is verified in one place only:
 the first segment at the pair's least segment distance.
 
+The index, one row per code and segment, is written once, hashed by segment value, and stays where it is: a round moves
+only its probes. Values that more than ``FREQUENT`` codes share are cut into shares, each a key of its own, which probes
+of that value look up one by one.
+
 Edge cases: a null or empty vector has no code, is never found and finds nothing; null or not-a-number
 elements count as unset; shorter vectors are padded with unset bits; ties go to the smaller id; repeated rows
 are neighbours at distance 0 (a row never finds its own id); fewer than k other rows give fewer; an empty
@@ -21,9 +25,16 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from shelfwise.llm.common import stored
+from shelfwise.operators.pairing import parts
+from shelfwise.session import run_dir
+from shelfwise.sources.tables import save_bucketed
 
 K = 10
-MIN_BITS, MAX_BITS = 4, 16
+#: Bits of a segment; they grow with the table up to what a number holds.
+MIN_BITS, MAX_BITS = 4, 30
+#: Codes of one segment value that are one key.
+FREQUENT = 10_000
+SHARES = 2**20
 EVERY = 100
 
 
@@ -35,6 +46,23 @@ def code(vector: Column, dims: int, bits: int) -> Column:
     return F.array(*[value(F.slice(padded, at + 1, min(bits, dims - at))) for at in range(0, dims, bits)])
 
 
+def _probes(open_: DataFrame, bits: int, radius: int) -> DataFrame:
+    """query, worst, segment, value: every value at distance ``radius`` from each of the query's own. Bits are flipped one after
+    the other in rising order, so just those values are made."""
+    rows = open_.select("query", "worst", F.posexplode("query").alias("segment", "value")).withColumn("next", F.lit(0))
+    for flipped in range(radius):
+        # Room is left for the bits still to be flipped.
+        last = bits - radius + flipped
+        rows = rows.where(F.col("next") <= last).withColumn("bit", F.explode(F.sequence(F.col("next"), F.lit(last))))
+        rows = rows.select("query", "worst", "segment", F.expr("value ^ shiftleft(1, bit)").alias("value"), (F.col("bit") + 1).alias("next"))
+    return rows.drop("next")
+
+
+def _spot(bits: int) -> Column:
+    """Segment and value as one number."""
+    return F.col("segment").cast("bigint") * 2**bits + F.col("value")
+
+
 def _apart(n: int) -> Column:
     """Distance in each segment of ``code`` and ``query``."""
     return F.array(*[F.bit_count(F.col("code")[i].bitwiseXOR(F.col("query")[i])) for i in range(n)])
@@ -55,23 +83,29 @@ def top_k(
     by_id = Window.partitionBy("code").orderBy("id")
     few = coded.distinct().withColumn("place", F.row_number().over(by_id)).where(F.col("place") <= k + 1)
     entries = stored(few.groupBy("code").agg(F.array_sort(F.collect_list("id")).alias("ids")), "entries")
-    index = entries.select("code", "ids", F.posexplode("code").alias("segment", "value"))
+    posted = entries.select("code", "ids", F.posexplode("code").alias("segment", "value")).withColumn("spot", _spot(bits)).drop("segment", "value")
+    often = posted.groupBy("spot").agg(F.ceil(F.count("*") / FREQUENT).alias("shares")).where("shares > 1")
+    often = stored(often.select("spot", "shares"), "frequent")
+    shares = F.coalesce("shares", F.lit(1))
+    mine = posted.join(often, "spot", "left").select(
+        "code", "ids", (F.col("spot") * SHARES + F.pmod(F.xxhash64("code"), shares)).alias("place")
+    )
+    spark = vectors.sparkSession
+    index = save_bucketed(mine, run_dir(spark, "segment-index"), "place", parts(spark))
 
     asked = coded.where((F.col("id") % EVERY == 0) if queries is None else queries)
     open_ = stored(asked.select(F.col("code").alias("query")).distinct().withColumn("worst", F.lit(m * bits)), "open")
     best, done = None, []
     for radius in range(bits + 1):
-        masks = F.filter(F.sequence(F.lit(0), F.lit(2**bits - 1)), lambda x: F.bit_count(x) == radius)
-        probes = open_.select("query", "worst", F.posexplode("query").alias("segment", "own")).select(
-            "query", "worst", "segment", F.explode(F.transform(masks, lambda x: F.col("own").bitwiseXOR(x))).alias("value")
-        )
+        # The table of open queries is small beside what it is exploded to: dealt out first.
+        probes = _probes(open_.repartition(parts(spark)), bits, radius).withColumn("spot", _spot(bits)).drop("value").join(often, "spot", "left")
+        share = F.explode(F.sequence(F.lit(0).cast("bigint"), shares - 1)).alias("share")
+        probes = probes.select("query", "worst", "segment", "spot", share).withColumn("place", F.col("spot") * SHARES + F.col("share"))
         apart = _apart(m)
         distance = F.aggregate(apart, F.lit(0), lambda a, b: a + b)
         first = (F.array_min(apart) == radius) & (F.array_position(apart, F.lit(radius)) == F.col("segment") + 1)
-        posted = index.select("code", "ids", F.col("segment").alias("s"), F.col("value").alias("v"))
-        same = (F.col("segment") == F.col("s")) & (F.col("value") == F.col("v"))
-        # Either side is far larger than the stored table that it is exploded from, which is all that Spark sees: never broadcast.
-        met = probes.hint("merge").join(posted.hint("merge"), same & first & (distance <= F.col("worst")))
+        # Probes are far more than the stored table that they are exploded from, which is all that Spark sees: never broadcast.
+        met = probes.hint("merge").join(index.hint("merge"), "place").where(first & (distance <= F.col("worst")))
         fresh = met.select("query", distance.alias("distance"), F.explode("ids").alias("id"))
         if best is not None:
             fresh = fresh.unionByName(best.join(open_.select("query"), "query", "left_semi").select("query", "distance", "id"))
