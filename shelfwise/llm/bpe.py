@@ -159,6 +159,33 @@ def encode(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", voca
     return rows.mapInArrow(batches, "doc_id bigint, ids array<int>, decoded binary")
 
 
+def encode_with_offsets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", vocabulary: tuple[str, str] | None = None) -> DataFrame:
+    """doc_id, ids, ends: where each token ends in the text's UTF-8 bytes; it starts where the one before it ends."""
+    where = vocabulary or default_vocabulary()
+
+    def batches(source: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        own = codec(*where)
+        lengths = np.array([len(token) for token in own.token_bytes], np.int64)
+        for batch in parts(source):
+            ids = [own.encode(text or "") for text in batch.column("text").to_pylist()]
+            heads = np.cumsum([0, *map(len, ids)])
+            flat = np.fromiter(chain.from_iterable(ids), np.int32, heads[-1])
+            ends = np.cumsum(lengths[flat])
+            before = np.r_[0, ends][heads[:-1]]
+            at = pa.array(heads, pa.int32())
+            yield pa.RecordBatch.from_arrays(
+                [
+                    batch.column("doc_id"),
+                    pa.ListArray.from_arrays(at, pa.array(flat)),
+                    pa.ListArray.from_arrays(at, pa.array(ends - np.repeat(before, np.diff(heads)), pa.int64())),
+                ],
+                names=["doc_id", "ids", "ends"],
+            )
+
+    rows = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
+    return rows.mapInArrow(batches, "doc_id bigint, ids array<int>, ends array<bigint>")
+
+
 def decode(encoded: DataFrame, ids_col: str = "ids", vocabulary: tuple[str, str] | None = None) -> DataFrame:
     """``encoded`` with text: the ids decoded, parts of characters as U+FFFD. A null list gives null."""
     where = vocabulary or default_vocabulary()

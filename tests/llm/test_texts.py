@@ -153,6 +153,48 @@ def test_pairs_of_terms_decide(spark):
     assert all(r.predicted == int(r.score >= 0.7) and r.held_out == held_out(r.doc_id) for r in got.values())
 
 
+def syllables(rng):
+    return "".join(rng.choice("bdfgklmnprst") + rng.choice("aeiou") for _ in range(3))
+
+
+@pytest.mark.parametrize("apart", [True, False])
+def test_only_the_pair_of_two_words_decides(spark, apart):
+    """Toxic with exactly one of two words, or with both or neither: no word tells anything alone."""
+    rng = random.Random(11)
+    names = sorted({syllables(rng) for _ in range(400)})
+    pairs, marks = [], []
+    for i in range(3000):
+        words = rng.choices(names, k=20)
+        both = [w for w in ("alpha", "omega") if rng.random() < 0.5]
+        pairs.append((i, " ".join([*words, *both])))
+        marks.append((i, int((len(both) == 1) == apart)))
+    docs, labels = cases.frame(spark, pairs), spark.createDataFrame(marks, "doc_id bigint, toxic int")
+    truth, tested = dict(marks), [i for i, _ in pairs if held_out(i)]
+    got = {r.doc_id: r.score for r in toxicity.score(docs, toxicity.learn(docs, labels)).collect()}
+    assert sum((got[i] >= 0.5) == truth[i] for i in tested) >= 0.95 * len(tested)
+
+
+def test_score_is_the_plain_sum_over_pairs(spark):
+    docs, labels, texts, _ = toxic_table(spark, 300)
+    machine = toxicity.learn(docs, labels)
+    of = toxicity.Terms(machine.chosen)
+    plain = {}
+    for i, text in texts.items():
+        terms = of(text)
+        z = machine.w0 + sum(machine.w[t] for t in terms)
+        z += sum(machine.v[a] @ machine.v[b] for k, a in enumerate(terms) for b in terms[:k])
+        plain[i] = 1 / (1 + np.exp(-z))
+    assert {r.doc_id: r.score for r in toxicity.score(docs, machine).collect()} == pytest.approx(plain)
+
+
+def test_ties_and_repeated_rows_have_equal_scores(spark):
+    docs, labels, texts, _ = toxic_table(spark, 300)
+    machine = toxicity.learn(docs, labels)
+    twice = cases.frame(spark, [*texts.items(), *[(i + 1000, " ".join(reversed(t.split()))) for i, t in texts.items()]])
+    got = {r.doc_id: r.score for r in toxicity.score(twice, machine).collect()}
+    assert all(got[i] == pytest.approx(got[i + 1000]) for i in texts)
+
+
 def test_toxicity_of_odd_rows(spark):
     labels = spark.createDataFrame([(1, 1), (1, 0), (4, None), (None, 1), (6, 0)], "doc_id bigint, toxic int")
     docs = cases.frame(spark)
@@ -275,6 +317,10 @@ def test_bpe_rows(spark):
     assert len(back) == len(cases.ODD)
     assert all(r.text == (texts[r.doc_id] or "") and bytes(r.decoded) == r.text.encode() for r in back)
     assert bpe.digests(cases.nothing(spark)).count() == 0
+    for r in bpe.encode_with_offsets(cases.frame(spark)).collect():
+        raw, ids = (texts[r.doc_id] or "").encode(), ENCODING.encode_ordinary(texts[r.doc_id] or "")
+        assert r.ids == ids and len(r.ends) == len(ids)
+        assert [raw[a:b] for a, b in zip([0, *r.ends], r.ends)] == [ENCODING.decode_single_token_bytes(i) for i in ids]
     part = ENCODING.encode_ordinary("日")[:1]
     assert bpe.codec(*bpe.default_vocabulary()).decode(part) == "�"
 
