@@ -144,7 +144,8 @@ def learn(
         .persist()
     )
     padded = F.concat(F.lit(" "), F.col("word"), F.lit(" "))
-    cut = lambda n: F.transform(F.sequence(F.lit(1), F.char_length(padded) - n + 1), lambda i: F.substring(padded, i, F.lit(n)))
+    places = lambda n: F.when(F.char_length(padded) >= n, F.sequence(F.lit(1), F.char_length(padded) - n + 1)).otherwise(F.array().cast("array<int>"))
+    cut = lambda n: F.transform(places(n), lambda i: F.substring(padded, i, F.lit(n)))
     grams = words.select("lang", "n", F.explode(F.flatten(F.array(*[cut(n) for n in GRAMS]))).alias("gram"))
     known = grams.where(F.col("gram") != " ").groupBy("gram", "lang").agg(F.sum("n").alias("n"))
     model = Model(

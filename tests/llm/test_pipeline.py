@@ -68,7 +68,7 @@ def test_near_dedup_keeps_the_least_of_each_group(spark):
     classes = cases.near_classes([(i, t) for i, t, _, _ in rows if i is not None], width=5, percent=80)
     wanted = sorted([(False, i) for i, (_, root) in classes.items() if i == root] + [(True, None)])
     assert got.columns == corpus_pipeline.COLUMNS and ids(got) == wanted
-    assert sum(60 <= i < 75 for _, i in ids(got) if i) == 1
+    assert not any(60 <= i < 75 for _, i in ids(got) if i)  # one group with 7, of which they hold the text three times
 
 
 def test_personal_data_changes_only_texts_that_hold_some(spark):
