@@ -38,10 +38,10 @@ def personal_data(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Each document as often as the mix takes its words, to the nearest whole number."""
+    """Each document as often as the mix takes its words, to the nearest whole number; of one without words nothing is taken."""
     keyed = docs.select(F.xxhash64(*COLUMNS).alias("row"), *COLUMNS)
     line, pieces = mixing.mix(keyed, id_col="row")
-    share = mixing.taken(line, pieces).groupBy("doc_id").agg((F.sum("taken") / F.sum("size")).alias("share"))
+    share = mixing.taken(line, pieces).groupBy("doc_id").agg(F.try_divide(F.sum("taken"), F.sum("size")).alias("share"))
     times = share.select(F.col("doc_id").alias("row"), F.floor(F.col("share") + 0.5).cast("int").alias("times"))
     chosen = stored(times.where("times > 0"), "mix-times")
     # One row a document, so merged with the texts at every size, never broadcast.
