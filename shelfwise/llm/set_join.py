@@ -6,20 +6,23 @@ of a set ``q`` and one at least as large, at most ``misses(q)`` shingles of ``q`
 1. **Kin.** Nodes with the same lowest or highest shingle are compared exactly, in chunks of about ``CHUNK`` shingles. Where a
    key fills several chunks, only one node of each linked piece goes on to the next level, so a large group of near copies
    is connected in passes over a falling number of nodes, never pair by pair.
-2. **Groups.** Linked kin form groups of their own; the others are grouped by lowest shingle and size. Groups have bounded
+2. **Leaders.** Of the nodes that share a frequent token, the one with the smallest share of tokens of its own leads. Nodes
+   that must look the token up are compared with its leader, one pair each: copies that were each edited
+   elsewhere link to what they were made from rather than to one another.
+3. **Groups.** Linked nodes form groups of their own; the others are grouped by lowest shingle and size. Groups have bounded
    chunks too. The matrix (token, group) holds the union of each group's tokens, with its smallest and
    largest set. Small sets give all shingles as tokens, larger ones those in the lowest part of the hash range.
-3. **Queries.** Any ``misses + 1`` tokens of a node must lead to each of its partners, so the rarest are looked up in the matrix,
+4. **Queries.** Any ``misses + 1`` tokens of a node must lead to each of its partners, so the rarest are looked up in the matrix,
    first which classes hold them, then which groups of classes other than its own. A node whose own tokens
    occur nowhere else looks up nothing. The few nodes with too few tokens look up their whole sets.
-4. **Bound.** A group is opened only if the query's tokens that its union lacks are few enough; then each member's
+5. **Bound.** A group is opened only if the query's tokens that its union lacks are few enough; then each member's
    tokens are counted, and pairs that may link are left.
-5. **Verification** on full sets from the texts: first the likeliest pair of any two classes, then all pairs whose classes are
+6. **Verification** on full sets from the texts: first the likeliest pair of any two classes, then all pairs whose classes are
    still apart. No pair between classes that stay apart is left out.
 
 Edge cases: a null or empty text has an empty set and links with nothing; one with fewer words than the width has its
 whole sequence as its only shingle; a null id has no class; repeated rows are copies; an id that comes with several
-texts links to what any of them links to; an empty table gives an empty result; extra columns are ignored.
+texts links to what any of them links to, where their sets differ in size; an empty table gives an empty result; extra columns are ignored.
 """
 
 from __future__ import annotations
@@ -48,6 +51,8 @@ SMALL = 256
 TOKEN_BITS = 2
 #: Average members of a group of nodes without kin.
 GROUP = 64
+#: Tokens of more nodes than these have a leader.
+LEAD_FROM = 16
 
 _LINKS = "a bigint, b bigint"
 
@@ -167,8 +172,18 @@ def kin_links(docs: DataFrame, nodes: DataFrame, width: int, percent: int, chunk
         level += 1
 
 
+def reached(nodes: DataFrame, shared: DataFrame, percent: int) -> DataFrame:
+    """``nodes`` (node, size, n_tokens) with ``reach``, the size of the largest set, up to its own, that a node may link to as the larger.
+
+    Tokens of one node alone are missing in every other: with ``u`` of them at most ``size - u`` shingles are common."""
+    n_shared = shared.groupBy("node", "size").agg(F.count("*").alias("n_shared"))
+    alone = F.col("n_tokens") - F.coalesce("n_shared", F.lit(0))
+    reach = F.floor((100 + percent) * (F.col("size") - alone) / percent) - F.col("size")
+    return nodes.join(n_shared, ["node", "size"], "left").withColumn("reach", F.least("size", reach).cast("int")).drop("n_shared", "n_tokens")
+
+
 def grouped(nodes: DataFrame, chunk: int = CHUNK) -> DataFrame:
-    """node, size, class, group: kin by class, the others by lowest shingle and size, in chunks."""
+    """node, size, reach, class, group: kin by class, the others by lowest shingle and size, in chunks."""
     alone = F.count("*").over(Window.partitionBy("class"))
     sizes = nodes.groupBy("class").agg((F.count("*") > 1).alias("kin"))
     n_alone = sizes.where("NOT kin").count()
@@ -177,24 +192,43 @@ def grouped(nodes: DataFrame, chunk: int = CHUNK) -> DataFrame:
     rows = nodes.join(sizes, "class").withColumn("family", family)
     counted = rows.groupBy("family").agg(F.ceil(F.sum(F.col("size") + MEMBER) / chunk).alias("chunks"))
     mine = F.pmod(F.xxhash64("node"), F.col("chunks"))
-    return rows.join(counted, "family").select("node", "size", "class", F.xxhash64("family", mine).alias("group"))
+    return rows.join(counted, "family").select("node", "size", "reach", "class", F.xxhash64("family", mine).alias("group"))
 
 
 def _lookups(shared: DataFrame, percent: int) -> DataFrame:
     """node, size, token: the rarest tokens of each node that it must look up."""
     usable = shared.where("usable")
-    place = F.row_number().over(Window.partitionBy("node").orderBy("df", "token"))
-    n_shared = F.count("*").over(Window.partitionBy("node"))
+    place = F.row_number().over(Window.partitionBy("node", "size").orderBy("df", "token"))
+    n_shared = F.count("*").over(Window.partitionBy("node", "size"))
     ranked = usable.withColumn("place", place).withColumn("own", F.col("n_usable") - n_shared)
     return ranked.where(F.col("place") + F.col("own") <= _misses(F.col("size"), percent) + 1).select("node", "size", "token")
 
 
+def led(lookups: DataFrame, shared: DataFrame, named: DataFrame, percent: int, lead_from: int = LEAD_FROM) -> DataFrame:
+    """q, s: looking-up nodes with the leaders of their frequent tokens, of another class and a fitting size."""
+    often = shared.where(F.col("df") > lead_from)
+    own = shared.where("usable").groupBy("node", "size").agg(F.count("*").alias("n_shared"))
+    central = (F.col("n_usable") - F.coalesce("n_shared", F.lit(0))) / F.col("size")
+    leader = F.min_by(F.struct("node", "size"), F.struct(central.alias("own"), F.col("node").alias("n"))).alias("leader")
+    leaders = often.join(own, ["node", "size"], "left").groupBy("token").agg(leader).select("token", F.col("leader.node").alias("s"), F.col("leader.size").alias("s_size"))
+    fits = F.least("size", "s_size") * 100 >= F.greatest("size", "s_size") * percent
+    met = lookups.join(leaders, "token").where((F.col("node") != F.col("s")) & fits).select(F.col("node").alias("q"), "s").distinct()
+    of = named.select("node", "class")
+    return (
+        met.join(of.select(F.col("node").alias("q"), F.col("class").alias("c")), "q")
+        .join(of.select(F.col("node").alias("s"), F.col("class").alias("d")), "s")
+        .where("c <> d")
+        .select("q", "s")
+    )
+
+
 def candidates(lookups: DataFrame, tokens: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
-    """node, group: queries and the groups of other classes that hold one of their looked-up tokens and a set of fitting size."""
-    of = groups.select("node", "class", "group")
-    matrix = tokens.select("node", "size", "token").join(of, "node").groupBy("token", "class", "group")
-    matrix = stored(matrix.agg(F.min("size").alias("least"), F.max("size").alias("most")), "matrix")
-    asked = lookups.join(of.select("node", F.col("class").alias("own")), "node")
+    """node, group: queries and the groups of other classes that hold one of their looked-up tokens and a set that reaches their size."""
+    # Sets that can link to none as the larger one are in no group's union.
+    of = groups.where(F.col("reach") * 100 >= F.col("size") * percent).select("node", "size", "reach", "class", "group")
+    matrix = tokens.select("node", "size", "token").join(of, ["node", "size"]).groupBy("token", "class", "group")
+    matrix = stored(matrix.agg(F.min("size").alias("least"), F.max("reach").alias("most")), "matrix")
+    asked = lookups.join(groups.select("node", F.col("class").alias("own")).distinct(), "node")
     # Which classes first: a class of many groups that a token's own class is never fans out.
     classes = asked.join(matrix.select("token", "class").distinct(), "token").where(F.col("class") != F.col("own"))
     fits = (F.col("most") >= F.col("size")) & (F.col("least") * percent <= F.col("size") * 100)
@@ -206,7 +240,8 @@ def opened(nodes: DataFrame, groups: DataFrame, asked: DataFrame, percent: int,
     limit = 2 ** (64 - token_bits)
     with_tokens = groups.join(nodes.select("node", F.col("size").alias("of_size"), "tokens"), "node").where("size = of_size").drop("of_size")
     wanted = asked.select("group").distinct()
-    members = with_tokens.join(wanted, "group", "left_semi").withColumn("is_query", F.lit(False))
+    can = F.col("reach") * 100 >= F.col("size") * percent
+    members = with_tokens.where(can).join(wanted, "group", "left_semi").withColumn("is_query", F.lit(False))
     queries = asked.join(with_tokens.drop("group"), "node").withColumn("is_query", F.lit(True))
     columns = ["group", "is_query", "node", "size", "class", "tokens"]
     rows = members.select(*columns).unionByName(queries.select(*columns))
@@ -359,11 +394,18 @@ def classes(
     same_id = by_id.agg(F.min("node").alias("a"), F.max("node").alias("b")).where("a < b").select("a", "b")
     links = [stored(same_id, "same-id"), *kin_links(slim, nodes, width, percent, chunk)]
 
-    groups = stored(grouped(_named(nodes.select("node", "size", "low"), links), chunk), "set-groups")
-    tokens = nodes.select("node", "size", "n_usable", F.explode("tokens").alias("token"))
+    # Most tokens are of one node only; what else is known of a node is joined to the few that are left.
+    tokens = nodes.select("node", "size", F.explode("tokens").alias("token"))
     df = tokens.groupBy("token").agg(F.count("*").alias("df")).where("df > 1")
-    shared = stored(tokens.withColumn("usable", whole | is_low(F.col("token"))).join(df, "token"), "shared-tokens")
-    asked = candidates(_lookups(shared, percent), shared, groups, percent)
+    common = tokens.join(df, "token").join(nodes.select("node", "size", "n_usable"), ["node", "size"])
+    shared = stored(common.withColumn("usable", whole | is_low(F.col("token"))), "shared-tokens")
+    lookups = stored(_lookups(shared, percent), "lookups")
+    sized = reached(nodes.select("node", "size", "low", F.size("tokens").alias("n_tokens")), shared, percent)
+    to_leaders = stored(led(lookups, shared, _named(sized, links), percent), "to-leaders")
+    if not to_leaders.isEmpty():
+        links.append(verified(slim, to_leaders, width, percent))
+    groups = stored(grouped(_named(sized, links), chunk), "set-groups")
+    asked = candidates(lookups, shared, groups, percent)
     if not nodes.where("short").isEmpty():
         asked = asked.unionByName(candidates(*_whole_lookups(slim, nodes, width, percent), groups, percent)).distinct()
     pairs = stored(opened(nodes, groups, stored(asked, "asked"), percent, small, token_bits), "pairs")

@@ -110,3 +110,28 @@ def test_group_of_copies_is_not_compared_pair_by_pair(spark):
     sizes = sorted((r["count"] for r in named.groupBy("class").count().collect()), reverse=True)
     assert sizes[0] > 0.95 * sum(sizes)
     nodes.unpersist()
+
+
+def test_edited_copies_meet_their_leader(spark, monkeypatch):
+    """Copies that were each edited elsewhere are like the text that they were made from, hardly like one another."""
+    rng = random.Random(3)
+    base = [f"b{rng.randrange(10**6)}" for _ in range(150)]
+    texts = [" ".join(base)]
+    for _ in range(150):
+        words = list(base)
+        for _ in range(3):
+            words[rng.randrange(150)] = f"e{rng.randrange(10**6)}"
+        texts.append(" ".join(words))
+    rng.shuffle(texts)
+    pairs = list(enumerate(texts))
+    seen = []
+    verified = set_join.verified
+
+    def counted(docs, pairs, *rest):
+        seen.append(pairs.count())
+        return verified(docs, pairs, *rest)
+
+    monkeypatch.setattr(set_join, "verified", counted)
+    got = as_map(set_join.classes(cases.frame(spark, pairs), chunk=4000))
+    assert got == cases.near_classes(pairs, 5)
+    assert sum(seen) < 4 * len(texts)
