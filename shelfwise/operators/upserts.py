@@ -40,11 +40,19 @@ def upsert_ratings(base: DataFrame, updates: DataFrame) -> DataFrame:
     )
 
 
+def named_rows(base: DataFrame, updates: DataFrame) -> DataFrame:
+    """Rows of ``base`` whose pair (user, product) ``updates`` name."""
+    return base.join(updates.select(*PAIR).distinct(), PAIR, "left_semi")
+
+
+def other_rows(base: DataFrame, updates: DataFrame) -> DataFrame:
+    """Rows of ``base`` that ``updates`` leave as they are."""
+    return base.join(updates.select(*PAIR).distinct(), PAIR, "left_anti").select(*PAIR, "score", "timestamp")
+
+
 def replace_pairs(base: DataFrame, updates: DataFrame) -> DataFrame:
     """``base`` with the pairs (user, product) that ``updates`` name as ``upsert_ratings`` leaves them; other rows stay as they are."""
-    named = updates.select(*PAIR).distinct()
-    rest = base.join(named, PAIR, "left_anti").select(*PAIR, "score", "timestamp")
-    return rest.unionByName(upsert_ratings(base.join(named, PAIR, "left_semi"), updates))
+    return other_rows(base, updates).unionByName(upsert_ratings(named_rows(base, updates), updates))
 
 
 def already_rated(requests: DataFrame, ratings: DataFrame) -> DataFrame:

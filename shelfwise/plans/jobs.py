@@ -112,13 +112,17 @@ def rate(store: Warehouse, posts: DataFrame, batch: int | None = None) -> list[i
     # Stored before the ratings change, because the lists are computed from them.
     store.overwrite("RatingQueuesNext", done.queues)
     store.keyed("RatingQueues").replace(store.read("RatingQueuesNext", schemas.RATING_QUEUES), batch)
-    # Only the posted pairs change, so that the result does not depend on who shares a folder.
-    store.overwrite("RatingNext", upserts.replace_pairs(theirs, upserts.from_requests(posts)))
+    # Only the posted pairs change, so that the result does not depend on who shares a folder.  Their rows are stored before
+    # and after, and the others go from the table to the stage of ``rewrite`` and nowhere else.
+    changes = upserts.from_requests(posts)
+    store.overwrite("RatingBefore", upserts.named_rows(theirs, changes))
+    before = store.read("RatingBefore", schemas.RATING)
+    store.overwrite("RatingNext", upserts.upsert_ratings(before, changes))
     after = store.read("RatingNext", schemas.RATING)
     # Totals first: what they change by is computed from the ratings before the change.  A batch that is run again after
     # its totals were staged takes them from there.
-    store.add_totals(stats.change(theirs, after), batch)
-    ratings.rewrite(touched, after, batch)
+    store.add_totals(stats.change(before, after), batch)
+    ratings.rewrite(touched, upserts.other_rows(theirs, changes).unionByName(after), batch)
     return touched
 
 
