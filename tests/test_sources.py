@@ -1,8 +1,9 @@
 from shelfwise import schemas
-from shelfwise.operators import loglines, upserts
+from shelfwise.operators import loglines, stats, upserts
 from shelfwise.plans import jobs, serving
 from shelfwise.session import run_dir
 from shelfwise.sources import files, tables
+from shelfwise.sources.keyed import KeyedTable
 from shelfwise.sources.tables import Warehouse
 
 
@@ -122,3 +123,27 @@ def test_bucketed_table_joins_without_exchange(spark):
     plan = joined._jdf.queryExecution().executedPlan().toString()
     assert "Exchange" not in plan
     assert joined.count() == 1000
+
+
+def test_posts_move_their_own_rows_and_a_stage_is_not_dealt_out_again(spark, monkeypatch):
+    store = tables.Warehouse(spark, run_dir(spark, "small-posts"))
+    rows = [(u, p, 4.0, 86400 * 40 * p) for u in range(20) for p in range(6)] + [(3, 1, 2.0, 5)]
+    ratings = spark.createDataFrame(rows, schemas.RATING)
+    store.load(spark.createDataFrame([], schemas.PRODUCT), ratings, 2)
+    posts = spark.createDataFrame([(3, 1, 10.0, 900), (3, 77, 2.0, 901), (21, 2, 6.0, 902)], "userId long, productId long, uiScore double, timestamp long")
+    plans, write = [], KeyedTable._write
+
+    def noted(self, given, path, overwrite):
+        if overwrite == "dynamic":
+            plans.append(given._jdf.queryExecution().executedPlan().toString())
+        write(self, given, path, overwrite)
+
+    monkeypatch.setattr(KeyedTable, "_write", noted)
+    jobs.rate(store, posts)
+    assert len(plans) == 3 and not any("Exchange" in plan for plan in plans)
+    assert store.read("RatingNext", schemas.RATING).count() == 3
+    after = store.read("Rating")
+    wanted = [(u, p, 4.0, t) for u, p, _, t in rows if (u, p) != (3, 1)] + [(3, 1, 5.0, 86400 * 40), (3, 77, 1.0, 901), (21, 2, 3.0, 902)]
+    assert sorted(map(tuple, after.collect())) == sorted(wanted)
+    totals = {(r.productId, r.month): (r.n, float(r.total)) for r in store.read("RatingTotals").collect()}
+    assert totals == {(r.productId, r.month): (r.n, float(r.total)) for r in stats.totals(after).collect()}
