@@ -13,13 +13,16 @@ of a set ``q`` and one at least as large, at most ``misses(q)`` shingles of ``q`
    chunks too. The matrix (token, group) holds the union of each group's tokens, with its smallest and
    largest set. Small sets give all shingles as tokens, larger ones those in the lowest part of the hash range.
 4. **Queries.** Any ``misses + 1`` tokens of a node must lead to each of its partners, so the rarest are looked up in the matrix,
-   first which classes hold them, then which groups of classes other than its own. A node whose own tokens
+   first which classes hold them, then which groups of classes other than its own. The rarest token that two partners share is also
+   among the rarest ``spare + 1`` of the larger one, so the matrix holds only those. A node whose own tokens
    occur nowhere else looks up nothing. The few nodes with too few tokens look up their whole sets.
 5. **Bound.** A group is opened only if the query's tokens that its union lacks are few enough; then each member's
    tokens are counted, and pairs that may link are left.
 6. **Verification** on full sets from the texts: first the likeliest pair of any two classes, then all pairs whose classes are
    still apart. No pair between classes that stay apart is left out.
 
+Tables that no later step reads are removed at once, so the disk holds the tokens twice or three times at most.
+
 Edge cases: a null or empty text has an empty set and links with nothing; one with fewer words than the width has its
 whole sequence as its only shingle; a null id has no class; repeated rows are copies; an id that comes with several
 texts links to what any of them links to, where their sets differ in size; an empty table gives an empty result; extra columns are ignored.
@@ -36,7 +39,7 @@ import xxhash
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from shelfwise.llm.common import parts, stored
+from shelfwise.llm.common import discard, parts, stored
 from shelfwise.llm.graph import components
 from shelfwise.llm.minhash import Forest, linked, shingles
 
@@ -66,6 +69,11 @@ def _misses(size: Column, percent: int) -> Column:
     return F.floor(size * (100 - percent) / (100 + percent)).cast("int")
 
 
+def _spare(size: Column, percent: int) -> Column:
+    """Shingles of a set that a linked one of at most its size may lack."""
+    return F.floor(size * (100 - percent) / 100).cast("int")
+
+
 def sketches(docs: DataFrame, width: int, small: int, token_bits: int) -> DataFrame:
     """doc_id, n_shingles, set_id, low, high (end hashes), tokens; the last four null without words."""
     limit = np.uint64(2 ** (64 - token_bits) - 1)
@@ -172,6 +180,15 @@ def kin_links(docs: DataFrame, nodes: DataFrame, width: int, percent: int, chunk
         level += 1
 
 
+def _whole(percent: int, small: int) -> Column:
+    """Whether a node's tokens are all shingles, of each of its larger partners too."""
+    return 100 * F.col("size") <= percent * small
+
+
+def _is_low(token: Column, token_bits: int) -> Column:
+    return (token >= 0) & (token < 2 ** (64 - token_bits)) if token_bits else F.lit(True)
+
+
 def reached(nodes: DataFrame, shared: DataFrame, percent: int) -> DataFrame:
     """``nodes`` (node, size, n_tokens) with ``reach``, the size of the largest set, up to its own, that a node may link to as the larger.
 
@@ -195,13 +212,30 @@ def grouped(nodes: DataFrame, chunk: int = CHUNK) -> DataFrame:
     return rows.join(counted, "family").select("node", "size", "reach", "class", F.xxhash64("family", mine).alias("group"))
 
 
-def _lookups(shared: DataFrame, percent: int) -> DataFrame:
-    """node, size, token: the rarest tokens of each node that it must look up."""
-    usable = shared.where("usable")
-    place = F.row_number().over(Window.partitionBy("node", "size").orderBy("df", "token"))
-    n_shared = F.count("*").over(Window.partitionBy("node", "size"))
-    ranked = usable.withColumn("place", place).withColumn("own", F.col("n_usable") - n_shared)
-    return ranked.where(F.col("place") + F.col("own") <= _misses(F.col("size"), percent) + 1).select("node", "size", "token")
+def ranked_tokens(nodes: DataFrame, percent: int, small: int, token_bits: int) -> DataFrame:
+    """node, size, token, df, usable, n_usable of the tokens that several nodes have, with ``asks`` (one of the rarest, that the node
+    must look up) and ``holds`` (one of the rarest, by which smaller partners find the node).
+
+    Both follow one order of all tokens. Sets that a node may be asked for by all tokens and by low ones hold the rarest of either."""
+    tokens = nodes.select("node", "size", F.explode("tokens").alias("token"))
+    df = tokens.groupBy("token").agg(F.count("*").alias("df")).where("df > 1")
+    # Most tokens are of one node only; what else is known of a node is joined to the few that are left.
+    known = nodes.groupBy("node", "size").agg(
+        F.max("n_usable").alias("n_usable"), F.max(F.size("tokens")).alias("n_tokens"), (F.count("*") > 1).alias("twins")
+    )
+    common = tokens.join(df, "token").join(known, ["node", "size"])
+    common = common.withColumn("usable", _whole(percent, small) | _is_low(F.col("token"), token_bits))
+    of_node = Window.partitionBy("node", "size")
+    order = of_node.orderBy("df", "token")
+    is_usable = F.col("usable").cast("int")
+    place = F.sum(is_usable).over(order.rowsBetween(Window.unboundedPreceding, 0)) + F.col("n_usable") - F.sum(is_usable).over(of_node)
+    place_of_all = F.row_number().over(order) + F.col("n_tokens") - F.count("*").over(of_node)
+    placed = common.withColumn("place", place).withColumn("place_of_all", place_of_all)
+    most = _spare(F.col("size"), percent) + 1
+    # Sets of one id and size are told apart nowhere below, so all of their tokens count.
+    asks = F.col("usable") & (F.col("twins") | (F.col("place") <= _misses(F.col("size"), percent) + 1))
+    holds = F.col("twins") | (F.col("usable") & (F.col("place") <= most)) | ((F.col("size") <= small) & (F.col("place_of_all") <= most))
+    return placed.select("node", "size", "token", "df", "usable", "n_usable", asks.alias("asks"), holds.alias("holds"))
 
 
 def led(lookups: DataFrame, shared: DataFrame, named: DataFrame, percent: int, lead_from: int = LEAD_FROM) -> DataFrame:
@@ -223,16 +257,19 @@ def led(lookups: DataFrame, shared: DataFrame, named: DataFrame, percent: int, l
 
 
 def candidates(lookups: DataFrame, tokens: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
-    """node, group: queries and the groups of other classes that hold one of their looked-up tokens and a set that reaches their size."""
+    """Stored node, group: queries and the groups of other classes that hold one of their looked-up tokens and a set that reaches their size."""
     # Sets that can link to none as the larger one are in no group's union.
     of = groups.where(F.col("reach") * 100 >= F.col("size") * percent).select("node", "size", "reach", "class", "group")
     matrix = tokens.select("node", "size", "token").join(of, ["node", "size"]).groupBy("token", "class", "group")
     matrix = stored(matrix.agg(F.min("size").alias("least"), F.max("reach").alias("most")), "matrix")
     asked = lookups.join(groups.select("node", F.col("class").alias("own")).distinct(), "node")
-    # Which classes first: a class of many groups that a token's own class is never fans out.
-    classes = asked.join(matrix.select("token", "class").distinct(), "token").where(F.col("class") != F.col("own"))
     fits = (F.col("most") >= F.col("size")) & (F.col("least") * percent <= F.col("size") * 100)
-    return classes.join(matrix, ["token", "class"]).where(fits).select("node", "group").distinct()
+    # Which classes first: a class of many groups that a token's own class is never fans out.
+    by_class = matrix.groupBy("token", "class").agg(F.min("least").alias("least"), F.max("most").alias("most"))
+    classes = asked.join(by_class, "token").where((F.col("class") != F.col("own")) & fits).select("node", "size", "token", "class")
+    found = stored(classes.join(matrix, ["token", "class"]).where(fits).select("node", "group").distinct(), "asked")
+    discard(matrix)
+    return found
 
 
 def opened(nodes: DataFrame, groups: DataFrame, asked: DataFrame, percent: int, small: int, token_bits: int) -> DataFrame:
@@ -342,7 +379,9 @@ def verified(docs: DataFrame, pairs: DataFrame, width: int, percent: int) -> Dat
     sets = stored(full_sets(docs, involved, width), "pair-sets")
     first = pairs.join(sets.hint("merge"), pairs["q"] == sets["node"]).select("q", "s", "set")
     other = sets.select(F.col("node").alias("s"), F.col("set").alias("other"))
-    return stored(first.join(other.hint("merge"), "s").select("q", "s", "set", "other").mapInArrow(exact, _LINKS), "pair-links")
+    found = stored(first.join(other.hint("merge"), "s").select("q", "s", "set", "other").mapInArrow(exact, _LINKS), "pair-links")
+    discard(sets)
+    return found
 
 
 def _whole_lookups(docs: DataFrame, nodes: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataFrame]:
@@ -377,43 +416,45 @@ def classes(
 ) -> DataFrame:
     """doc_id, n_shingles, component_id: one row per document."""
     slim = docs.select(F.col(id_col).cast("bigint").alias("doc_id"), F.col(text_col).alias("text"))
-    rows = stored(sketches(slim, width, small, token_bits), "set-sketches")
-    named = rows.where(F.col("set_id").isNotNull() & F.col("doc_id").isNotNull())
-    of_set = named.groupBy("set_id").agg(
+    whole_rows = stored(sketches(slim, width, small, token_bits), "set-sketches")
+    has_set = F.col("set_id").isNotNull() & F.col("doc_id").isNotNull()
+    of_set = whole_rows.where(has_set).groupBy("set_id").agg(
         F.min("doc_id").alias("node"), F.any_value("n_shingles").alias("size"), F.any_value("low").alias("low"),
         F.any_value("high").alias("high"), F.any_value("tokens").alias("tokens"),
     )
-    is_low = lambda t: (t >= 0) & (t < 2 ** (64 - token_bits)) if 0 < token_bits else F.lit(True)
-    whole = 100 * F.col("size") <= percent * small
-    n_usable = F.when(whole, F.size("tokens")).otherwise(F.size(F.filter("tokens", is_low)))
+    n_usable = F.when(_whole(percent, small), F.size("tokens")).otherwise(F.size(F.filter("tokens", lambda t: _is_low(t, token_bits))))
     nodes = stored(
         of_set.withColumn("n_usable", n_usable).withColumn("short", F.col("n_usable") <= _misses(F.col("size"), percent)), "set-nodes"
     )
+    rows = stored(whole_rows.select("doc_id", "n_shingles", "set_id"), "set-rows")
+    discard(whole_rows)
+    named = rows.where(has_set)
     # An id with several texts links their nodes.
     by_id = named.select("doc_id", "set_id").join(nodes.select("set_id", "node"), "set_id").groupBy("doc_id")
     same_id = by_id.agg(F.min("node").alias("a"), F.max("node").alias("b")).where("a < b").select("a", "b")
     links = [stored(same_id, "same-id"), *kin_links(slim, nodes, width, percent, chunk)]
 
-    # Most tokens are of one node only; what else is known of a node is joined to the few that are left.
-    tokens = nodes.select("node", "size", F.explode("tokens").alias("token"))
-    df = tokens.groupBy("token").agg(F.count("*").alias("df")).where("df > 1")
-    common = tokens.join(df, "token").join(nodes.select("node", "size", "n_usable"), ["node", "size"])
-    shared = stored(common.withColumn("usable", whole | is_low(F.col("token"))), "shared-tokens")
-    lookups = stored(_lookups(shared, percent), "lookups")
-    sized = reached(nodes.select("node", "size", "low", F.size("tokens").alias("n_tokens")), shared, percent)
+    shared = stored(ranked_tokens(nodes, percent, small, token_bits), "shared-tokens")
+    lookups = shared.where("asks").select("node", "size", "token")
+    sized = stored(reached(nodes.select("node", "size", "low", F.size("tokens").alias("n_tokens")), shared, percent), "set-sizes")
     to_leaders = stored(led(lookups, shared, _named(sized, links), percent), "to-leaders")
     if not to_leaders.isEmpty():
         links.append(verified(slim, to_leaders, width, percent))
     groups = stored(grouped(_named(sized, links), chunk), "set-groups")
-    asked = candidates(lookups, shared, groups, percent)
+    asked = candidates(lookups, shared.where("holds"), groups, percent)
+    discard(shared)
     if not nodes.where("short").isEmpty():
-        asked = asked.unionByName(candidates(*_whole_lookups(slim, nodes, width, percent), groups, percent)).distinct()
-    pairs = stored(opened(nodes, groups, stored(asked, "asked"), percent, small, token_bits), "pairs")
+        whole = _whole_lookups(slim, nodes, width, percent)
+        asked = asked.unionByName(candidates(*whole, groups, percent)).distinct()
+        discard(*whole)
+    pairs = stored(opened(nodes, groups, asked, percent, small, token_bits), "pairs")
+    of_sets = stored(nodes.select("set_id", "node"), "set-names")
+    discard(nodes)
     if not pairs.isEmpty():
         ends = [F.least("q_class", "s_class").alias("c"), F.greatest("q_class", "s_class").alias("d")]
         likeliest = stored(pairs.groupBy(*ends).agg(F.max_by(F.struct("q", "s"), "common").alias("p")).select("p.*"), "likeliest")
         links.append(verified(slim, likeliest, width, percent))
-        now = _named(nodes.select("node").distinct(), links).select("node", "class")
+        now = _named(of_sets.select("node").distinct(), links).select("node", "class")
         apart = (
             pairs.select("q", "s")
             .join(now.select(F.col("node").alias("q"), F.col("class").alias("c")), "q")
@@ -424,7 +465,7 @@ def classes(
         left = stored(apart.select("q", "s"), "apart")
         if not left.isEmpty():
             links.append(verified(slim, left, width, percent))
-    found = _named(nodes.select("set_id", "node"), links).select("set_id", "class")
+    found = _named(of_sets, links).select("set_id", "class")
     columns = ["doc_id", F.col("n_shingles").cast("bigint").alias("n_shingles")]
     with_words = named.join(found, "set_id").select(*columns, F.col("class").alias("component_id"))
     without = rows.where(F.col("set_id").isNull() | F.col("doc_id").isNull())

@@ -5,6 +5,7 @@ import numpy as np
 import pyarrow as pa
 import pytest
 
+from shelfwise import session
 from shelfwise.llm import minhash, set_join
 
 
@@ -135,3 +136,27 @@ def test_edited_copies_meet_their_leader(spark, monkeypatch):
     got = as_map(set_join.classes(cases.frame(spark, pairs), chunk=4000))
     assert got == cases.near_classes(pairs, 5)
     assert sum(seen) < 4 * len(texts)
+
+
+def test_tables_of_tokens_are_removed(spark):
+    """Sketches, nodes, the matrix and full sets hold the corpus several times; the result reads none of them."""
+    before = set(session._runs)
+    got = set_join.classes(cases.frame(spark, list(enumerate(MIXED))))
+    left = {run.rpartition("/")[2].rpartition("-")[0] for run in set(session._runs) - before}
+    assert left.isdisjoint({"set-sketches", "set-nodes", "shared-tokens", "matrix", "pair-sets"})
+    assert {"set-rows", "set-names"} <= left
+    assert got.count() == len(MIXED)
+
+
+def test_matrix_holds_only_the_rarest_tokens_of_a_node(spark):
+    """Texts with one long passage and words of their own are found by their rarest shingles, not by each of the passage."""
+    docs = cases.frame(spark, list(enumerate(with_passage(40, 3, 60, 8))))
+    rows = set_join.sketches(docs.select("doc_id", "text"), 5, 256, 2)
+    nodes = rows.selectExpr("doc_id AS node", "n_shingles AS size", "tokens", "size(tokens) AS n_usable")
+    ranked = set_join.ranked_tokens(nodes, 80, 256, 2).collect()
+    size = ranked[0]["size"]
+    assert len(ranked) == 40 * 56  # the shingles within the passage
+    held = [r for r in ranked if r["holds"]]
+    assert len(held) == 40 * (size // 5 + 1 - (size - 56))
+    assert len({r["token"] for r in held}) == len(held) // 40
+    assert {r["token"] for r in ranked if r["asks"]} <= {r["token"] for r in held}
