@@ -9,7 +9,8 @@ bounded sample of the corpus's own lines.
 
 **Gate.** The weights say which words and word pairs a unit needs before its sum can turn from none: of the positive
 weights the smallest are left out as long as all of them together cannot make up for the intercept. A unit
-without any of the others is none, whatever else it holds, so only units that the gate's pattern finds are scored.
+without any of the others is none, whatever else it holds, so only units that the gate's pattern finds are scored, in the scan
+of the texts and by the fitted model itself. Only those that are not none leave the scan.
 
 **Unknown.** The weights' sharpness and the least score of a family are taken from fits that leave families out in
 ``FOLDS`` turns: notices of a family that a fit has not seen must not pass as another one. A unit that denies a
@@ -31,7 +32,8 @@ from concurrent.futures import ThreadPoolExecutor
 
 from pyspark import inheritable_thread_target
 from pyspark.ml.classification import LogisticRegression, LogisticRegressionModel
-from pyspark.ml.functions import array_to_vector
+from pyspark.ml.feature import CountVectorizerModel
+from pyspark.ml.functions import array_to_vector, vector_to_array
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -209,6 +211,8 @@ SOUNDS_LIKE = r"(?i)licen[sc]|copyright|permission|warrant|redistribut|public do
     rf"\b{mark}\b" for mark in MARKS if mark != "mit"  # also a German word
 )
 CONFIRM = 0.6
+#: Sums this near to that of none are added up again.
+NEARLY = 1e-6
 N_SAMPLE = 500
 #: Lines of a sampled document that are examples of none.
 N_LINES = 3
@@ -227,8 +231,13 @@ NAMED = r"(\p{Lu}[\p{L}\p{N}.+]*)(?:[ -]\p{Lu}[\p{L}\p{N}.+]*)*,? (?:(?:Public|S
 def grams(text: Column) -> Column:
     """Distinct words and word pairs of a line, lower-cased."""
     words = F.filter(F.split(F.lower(text), r"[^\p{L}\p{N}]+"), lambda w: w != "")
-    pairs = F.zip_with(F.slice(words, 1, F.greatest(F.size(words) - 1, F.lit(0))), F.slice(words, 2, F.greatest(F.size(words), F.lit(1))), lambda a, b: F.concat_ws(" ", a, b))
-    return F.array_distinct(F.concat(words, F.filter(pairs, lambda p: p.isNotNull())))
+
+    def of(words: Column) -> Column:
+        pairs = F.zip_with(F.slice(words, 1, F.greatest(F.size(words) - 1, F.lit(0))), F.slice(words, 2, F.greatest(F.size(words), F.lit(1))), lambda a, b: F.concat_ws(" ", a, b))
+        return F.array_distinct(F.concat(words, F.filter(pairs, lambda p: p.isNotNull())))
+
+    # Bound, so that a text is split once and not for each place where its words are named.
+    return F.transform(F.array(words), of)[0]
 
 
 def variants() -> list[tuple[str, str, bool, int]]:
@@ -258,21 +267,34 @@ def units(text: Column, gate: str) -> Column:
     plain = F.regexp_replace(F.regexp_replace(text, r"\r\n?", "\n"), MARKS_BEFORE, "")
     wrapped = F.filter(F.split(F.regexp_replace(plain, r"\A\n+|\n+\z", ""), r"\n{2,}"), lambda p: p.contains("\n") & p.rlike(gate))
 
-    def passages(paragraph: Column) -> Column:
-        words = F.split(F.trim(F.regexp_replace(paragraph, r"\s+", " ")), " ")
+    def passages(words: Column) -> Column:
         last = F.greatest(F.size(words) - PASSAGE // 2 - 1, F.lit(0))
         return F.transform(F.sequence(F.lit(0), last, F.lit(PASSAGE // 2)), lambda i: F.array_join(F.slice(words, i + 1, PASSAGE), " "))
 
-    every = F.concat(F.split(text, r"[\r\n]+"), F.flatten(F.transform(wrapped, passages)))
+    # A paragraph's words are bound before its passages are cut; spelled out in each passage, they would be split anew for each.
+    in_words = F.transform(wrapped, lambda p: F.split(F.trim(F.regexp_replace(p, r"\s+", " ")), " "))
+    every = F.concat(F.split(text, r"[\r\n]+"), F.flatten(F.transform(in_words, passages)))
     return F.filter(every, lambda u: u.rlike(gate))
 
 
 class Classifier:
     """weights (gram, family, weight; one row without gram is the intercept), templates (gram, family, template, size, marks),
-    the gate's pattern, and the least score of a family."""
+    the gate's pattern, the least score of a family, and the fitted model with the words and word pairs that it knows."""
 
-    def __init__(self, weights: DataFrame, templates: DataFrame, families: list[str], gate: str, sure: float):
+    def __init__(
+        self, weights: DataFrame, templates: DataFrame, families: list[str], gate: str, sure: float, vocabulary: list[str], model: LogisticRegressionModel
+    ):
         self.weights, self.templates, self.families, self.gate, self.sure = weights, templates, families, gate, sure
+        self.vocabulary, self.model = vocabulary, model
+
+    def possible(self, rows: DataFrame) -> DataFrame:
+        """``rows`` with ``line`` null where the model finds it to be none; equal sums, but for rounding, are left to ``classify``."""
+        known = CountVectorizerModel.from_vocabulary(self.vocabulary, inputCol="grams", outputCol="features", binary=True)
+        model = self.model.copy().setFeaturesCol("features").setRawPredictionCol("raw").setProbabilityCol("").setPredictionCol("")
+        scored = model.transform(known.transform(rows.withColumn("grams", F.coalesce(grams(F.col("line")), F.array().cast("array<string>")))))
+        # Bound once: the vector's expression is the model's work.
+        best = F.transform(F.array(vector_to_array("raw")), lambda raw: F.array_max(F.slice(raw, 2, len(self.families))) > raw[0] - NEARLY)[0]
+        return scored.withColumn("line", F.when(best, F.col("line"))).drop("grams", "features", "raw")
 
 
 def _templates(spark: SparkSession) -> DataFrame:
@@ -380,7 +402,7 @@ def learn(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", n_sam
     weights = [(None, f, bias[i] * sharpness) for i, f in enumerate(families)]
     weights += [(g, f, float(matrix[i, j]) * sharpness) for j, g in enumerate(vocabulary) for i, f in enumerate(families) if matrix[i, j]]
     table = stored(spark.createDataFrame(weights, "gram string, family string, weight double").coalesce(1), "licence-weights")
-    return Classifier(table, _templates(spark), families, gate, sure)
+    return Classifier(table, _templates(spark), families, gate, sure, vocabulary, model)
 
 
 def _strange(line: Column) -> Column:
@@ -434,8 +456,10 @@ def scan(docs: DataFrame, classifier: Classifier | None = None, id_col: str = "d
     classifier = classifier or learn(docs, id_col, text_col)
     rows = docs.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"), F.monotonically_increasing_id().alias("row"))
     gate = classifier.gate
-    found = stored(rows.withColumn("found", F.when(F.col("text").rlike(gate), units(F.col("text"), gate))).drop("text"), "licence-found")
-    each = found.where(F.size("found") > 0).select("row", F.explode("found").alias("line"))
+    # One row for each unit and at least one for each document; only what may be a licence keeps its line.
+    every = rows.select("row", "doc_id", F.posexplode_outer(F.when(F.col("text").rlike(gate), units(F.col("text"), gate))).alias("place", "line"))
+    found = stored(classifier.possible(every), "licence-found")
+    each = found.where(F.col("line").isNotNull()).select("row", "line")
     verdicts = each.groupBy("row", F.md5("line").alias("key")).agg(F.count("*").alias("times")).join(classify(each, classifier), "key")
     yes, no = F.col("confirmed"), ~F.col("confirmed") & (F.col("family") != NONE)
     per = verdicts.groupBy("row").agg(
@@ -446,6 +470,6 @@ def scan(docs: DataFrame, classifier: Classifier | None = None, id_col: str = "d
         F.max(F.when(yes, F.col("score"))).alias("score"),
     )
     zero = lambda c: F.coalesce(c, F.lit(0)).cast("bigint").alias(c)
-    return found.select("row", "doc_id").join(per, "row", "left").select(
+    return found.where(F.coalesce("place", F.lit(0)) == 0).select("row", "doc_id").join(per, "row", "left").select(
         "doc_id", zero("n_lines"), zero("n_confirmed"), zero("n_unknown"), F.coalesce("families", F.lit("")).alias("families"), F.coalesce("score", F.lit(0.0)).alias("score")
     )

@@ -10,6 +10,7 @@ import cases
 import numpy as np
 import pytest
 import regex
+from pyspark.sql import functions as F
 
 from shelfwise.llm import langid, licences, pii, spotsigs
 
@@ -266,3 +267,22 @@ def test_likeness_equals_sets(spark):
         assert r.near_edited == pytest.approx(like(own, changed))
         assert r.near_next == pytest.approx(like(own, sets[following[r.doc_id]][0]))
         assert r.n_signatures == len(own)
+
+
+def test_only_what_may_be_a_licence_leaves_the_scan(spark, classifier, monkeypatch):
+    """Units of common words that the gate has to let pass are scored in the scan; their lines are neither stored nor moved."""
+    rows = [(i, f"Page {i} of the nd series.\nThe mit of day {i}.") for i in range(30)] + [(30, "Released under the MIT License."), (31, None)]
+    docs = cases.frame(spark, rows)
+    assert docs.where(F.col("text").rlike(classifier.gate)).count() == 31
+    tables, stored = {}, licences.stored
+    monkeypatch.setattr(licences, "stored", lambda df, purpose: tables.setdefault(purpose, stored(df, purpose)))
+    got = {r.doc_id: (r.n_lines, r.families) for r in licences.scan(docs, classifier).collect()}
+    assert got == {i: (0, "") for i in range(32)} | {30: (1, "mit")}
+    assert [r.line for r in tables["licence-lines"].collect()] == ["Released under the MIT License."]
+    assert tables["licence-found"].where("line IS NOT NULL").count() == 1
+
+
+def test_words_are_split_once():
+    """A long paragraph is not split again for each of its passages, nor a unit for each of its word pairs."""
+    assert str(licences.units(F.col("text"), "x")).count(r"\s+") == 1
+    assert str(licences.grams(F.col("line"))).count("split(") == 1
