@@ -16,10 +16,11 @@ of a set ``q`` and one at least as large, at most ``misses(q)`` shingles of ``q`
    first which classes hold them, then which groups of classes other than its own. The rarest token that two partners share is also
    among the rarest ``spare + 1`` of the larger one, so the matrix holds only those. A node whose own tokens
    occur nowhere else looks up nothing. The few nodes with too few tokens look up their whole sets.
-5. **Bound.** A group is opened only if the query's tokens that its union lacks are few enough; then each member's
-   tokens are counted, and pairs that may link are left.
-6. **Verification** on full sets from the texts: first the likeliest pair of any two classes, then all pairs whose classes are
-   still apart. No pair between classes that stay apart is left out.
+5. **Bound.** A group is opened only if the query's tokens that its union lacks are few enough; then the tokens that it shares with
+   each member are counted. Of small sets these are all shingles, so their links are known here.
+6. **Verification.** Larger queries that may link to some member meet the group again, both with full sets from the texts. Every
+   member is counted inside the task and only links that connect classes leave it: rows grow with the queries' groups,
+   not with the pairs of a large group of texts that are nearly, but not quite, alike.
 
 Tables that no later step reads are removed at once, so the disk holds the tokens twice or three times at most.
 
@@ -54,6 +55,8 @@ SMALL = 256
 TOKEN_BITS = 2
 #: Average members of a group of nodes without kin.
 GROUP = 64
+#: Queries that one task's index of a group answers.
+QUERIES = 1024
 #: Tokens of more nodes than these have a leader.
 LEAD_FROM = 16
 
@@ -272,56 +275,117 @@ def candidates(lookups: DataFrame, tokens: DataFrame, groups: DataFrame, percent
     return found
 
 
-def opened(nodes: DataFrame, groups: DataFrame, asked: DataFrame, percent: int, small: int, token_bits: int) -> DataFrame:
-    """q, s, q_class, s_class, common: pairs that may link, of queries and members of the groups that pass the bound."""
+def _dealt(groups: DataFrame, asked: DataFrame, percent: int, queries: int = QUERIES) -> DataFrame:
+    """node, size, class, group, piece, is_query: the asked groups' members, and their queries in pieces of about ``queries``.
+
+    Members are repeated for each piece: so many queries outweigh the members of a group, which are bound by its chunk."""
+    pieces = asked.groupBy("group").agg(F.ceil(F.count("*") / queries).cast("int").alias("pieces"))
+    piece = F.pmod(F.xxhash64("node", "group"), F.col("pieces")).cast("int")
+    of = groups.select("node", "size", "class").distinct()
+    asking = asked.join(pieces, "group").withColumn("piece", piece).join(of, "node").withColumn("is_query", F.lit(True))
+    # Sets that can link to none as the larger one are members of no group.
+    can = groups.where(F.col("reach") * 100 >= F.col("size") * percent).join(pieces, "group")
+    members = can.withColumn("piece", F.explode(F.sequence(F.lit(0), F.col("pieces") - 1))).withColumn("is_query", F.lit(False))
+    columns = ["node", "size", "class", "group", "piece", "is_query"]
+    return members.select(*columns).unionByName(asking.select(*columns))
+
+
+def _compared(rows: DataFrame, percent: int, small: int, token_bits: int) -> DataFrame:
+    """node, other, group: links of queries (``rows`` with ``tokens``) and members, no more than connect their classes; ``other`` is null
+    where tokens cannot tell whether the query links to any in the group."""
     limit = 2 ** (64 - token_bits)
-    with_tokens = groups.join(nodes.select("node", F.col("size").alias("of_size"), "tokens"), "node").where("size = of_size").drop("of_size")
-    wanted = asked.select("group").distinct()
-    can = F.col("reach") * 100 >= F.col("size") * percent
-    members = with_tokens.where(can).join(wanted, "group", "left_semi").withColumn("is_query", F.lit(False))
-    queries = asked.join(with_tokens.drop("group"), "node").withColumn("is_query", F.lit(True))
-    columns = ["group", "is_query", "node", "size", "class", "tokens"]
-    rows = members.select(*columns).unionByName(queries.select(*columns))
 
     def low(tokens: np.ndarray) -> np.ndarray:
         return tokens[(tokens >= 0) & (tokens.astype(np.uint64) < np.uint64(limit))] if token_bits else tokens
 
-    def open_(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        number, held, index = None, [], None
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number, held, index, joined = None, [], None, {}
         for run in _pieces(batches):
-            group = run.column("group")[0].as_py()
-            if group != number:
-                number, held, index = group, [], None
+            key = (run.column("group")[0].as_py(), run.column("piece")[0].as_py())
+            if key != number:
+                number, held, index, joined = key, [], None, {}
             if not run.column("is_query")[0].as_py():
                 held.append(run)
                 continue
             if not held:
                 continue
             index = index or _Index(held, low)
-            yield index.pairs(run, percent, small, low)
+            for part in parts([run]):
+                found = index.pairs(part, percent, small, low)
+                sure = found.column("sure").to_numpy(zero_copy_only=False)
+                maybe = np.unique(found.column("q").to_numpy()[~sure])
+                links = _connecting(found.filter(found.column("sure")), joined)
+                nodes = pa.array([*(q for q, _ in links), *maybe.tolist()], pa.int64())
+                others = pa.array([*(s for _, s in links), *[None] * len(maybe)], pa.int64())
+                yield pa.RecordBatch.from_arrays([nodes, others, pa.array([key[0]] * len(nodes), pa.int64())], names=["node", "other", "group"])
+
+    dealt = rows.repartition("group", "piece").sortWithinPartitions("group", "piece", "is_query")
+    return dealt.mapInArrow(compare, "node bigint, other bigint, group bigint")
+
+
+def _connecting(pairs: pa.RecordBatch, joined: dict[int, int]) -> list[tuple[int, int]]:
+    """q, s of the linked pairs that connect classes which ``joined``, the links so far, leaves apart."""
+
+    def root(i: int) -> int:
+        while (up := joined.get(i, i)) != i:
+            joined[i] = joined.get(up, up)
+            i = up
+        return i
+
+    links = []
+    for q, s, c, d in zip(*(pairs.column(n).to_pylist() for n in ("q", "s", "q_class", "s_class")), strict=True):
+        c, d = root(c), root(d)
+        if c != d:
+            joined[max(c, d)] = min(c, d)
+            links.append((q, s))
+    return links
+
 
-    # A query's share of a group's work is small and the group's union is built once, so a group is one key.
-    dealt = rows.repartition("group").sortWithinPartitions("group", "is_query")
-    return dealt.mapInArrow(open_, "q bigint, s bigint, q_class bigint, s_class bigint, common double")
+def opened(nodes: DataFrame, groups: DataFrame, asked: DataFrame, percent: int, small: int, token_bits: int) -> DataFrame:
+    """node, other, group by tokens: links of small sets; with a null ``other`` the groups in which a larger one may have a link."""
+    sets = nodes.select("node", "size", "tokens")
+    return _compared(_dealt(groups, asked, percent).join(sets, ["node", "size"]), percent, small, token_bits)
+
+
+def confirmed(docs: DataFrame, groups: DataFrame, asked: DataFrame, width: int, percent: int) -> DataFrame:
+    """Stored a, b: links of the queries ``asked`` (node, group) with their groups' members, by full sets.
+
+    A query meets a group once, whatever the number of members that are nearly like it."""
+    rows = _dealt(groups, asked, percent)
+    sets = full_sets(docs, rows.select("node").distinct(), width).where(F.length("set") > 0)
+    sets = stored(sets.select("node", (F.length("set") / 8).cast("int").alias("size"), F.col("set").alias("tokens")), "full-sets")
+    # With whole sets as tokens, counts are exact at every size.
+    compared = _compared(rows.drop("size").join(sets.hint("merge"), "node"), percent, 2**31, 0)
+    found = stored(compared.select(F.col("node").alias("a"), F.col("other").alias("b")), "full-links")
+    discard(sets)
+    return found
 
 
 def _pieces(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Slices of one group and one kind of row."""
+    """Slices of one group's piece and one kind of row."""
     for batch in batches:
-        group, kind = batch.column("group").to_numpy(), batch.column("is_query").to_numpy(zero_copy_only=False)
-        cuts = [0, *(np.flatnonzero((group[1:] != group[:-1]) | (kind[1:] != kind[:-1])) + 1).tolist(), batch.num_rows]
+        columns = [batch.column(k).to_numpy(zero_copy_only=False) for k in ("group", "piece", "is_query")]
+        change = reduce(np.logical_or, [c[1:] != c[:-1] for c in columns])
+        cuts = [0, *(np.flatnonzero(change) + 1).tolist(), batch.num_rows]
         for start, end in zip(cuts, cuts[1:], strict=False):
             if start < end:
                 yield batch.slice(start, end - start)
 
 
+def _arrays(column: pa.Array | pa.ChunkedArray) -> list[np.ndarray]:
+    """Token lists, or full sets as bytes."""
+    if pa.types.is_binary(column.type):
+        return [np.frombuffer(s, np.int64) for s in column.to_pylist()]
+    return [np.array(t, np.int64) for t in column.to_pylist()]
+
+
 class _Index:
     """A group: its members' tokens by token, their union, sizes and classes."""
 
     def __init__(self, held: list[pa.RecordBatch], low):
         table = pa.Table.from_batches(held)
         self.names, self.sizes, self.classes = (table[c].to_numpy() for c in ("node", "size", "class"))
-        sets = [np.array(t, np.int64) for t in table["tokens"].to_pylist()]
+        sets = _arrays(table["tokens"])
         self.n_all, self.n_low = np.array([len(s) for s in sets]), np.array([len(low(s)) for s in sets])
         flat = np.concatenate(sets)
         order = np.argsort(flat, kind="stable")
@@ -330,10 +394,9 @@ class _Index:
         self.ends = np.r_[self.heads[1:], len(self.flat)]
 
     def pairs(self, run: pa.RecordBatch, percent: int, small: int, low) -> pa.RecordBatch:
-        columns = [run.column(c).to_pylist() for c in ("node", "size", "class", "tokens")]
+        columns = [*(run.column(c).to_pylist() for c in ("node", "size", "class")), _arrays(run.column("tokens"))]
         out: list[tuple[np.ndarray, ...]] = []
-        for node, size, class_, tokens in zip(*columns, strict=True):
-            mine = np.array(tokens, np.int64)
+        for node, size, class_, mine in zip(*columns, strict=True):
             whole = 100 * size <= percent * small
             mine = mine if whole else low(mine)
             fits = (self.sizes >= size) & (self.sizes * percent <= size * 100) & (self.classes != class_)
@@ -352,12 +415,11 @@ class _Index:
             need = least_common(size + self.sizes, percent)
             theirs = self.n_all if whole else self.n_low
             hit = np.flatnonzero(fits & (len(mine) - common <= size - need) & (theirs - common <= self.sizes - need))
-            share = common[hit] / np.maximum(1, len(mine) + theirs[hit] - common[hit])
-            out.append((np.full(len(hit), node), self.names[hit], np.full(len(hit), class_), self.classes[hit], share))
-        joined = [np.concatenate(c) for c in zip(*out, strict=True)] if out else [np.zeros(0, np.int64)] * 4 + [np.zeros(0)]
-        kinds = [pa.int64()] * 4 + [pa.float64()]
+            out.append((np.full(len(hit), node), self.names[hit], np.full(len(hit), class_), self.classes[hit], np.full(len(hit), whole)))
+        joined = [np.concatenate(c) for c in zip(*out, strict=True)] if out else [np.zeros(0, np.int64)] * 4 + [np.zeros(0, bool)]
+        kinds = [pa.int64()] * 4 + [pa.bool_()]
         return pa.RecordBatch.from_arrays(
-            [pa.array(c, k) for c, k in zip(joined, kinds, strict=True)], names=["q", "s", "q_class", "s_class", "common"]
+            [pa.array(c, k) for c, k in zip(joined, kinds, strict=True)], names=["q", "s", "q_class", "s_class", "sure"]
         )
 
 
@@ -447,24 +509,13 @@ def classes(
         whole = _whole_lookups(slim, nodes, width, percent)
         asked = asked.unionByName(candidates(*whole, groups, percent)).distinct()
         discard(*whole)
-    pairs = stored(opened(nodes, groups, asked, percent, small, token_bits), "pairs")
+    met = stored(opened(nodes, groups, asked, percent, small, token_bits), "met")
     of_sets = stored(nodes.select("set_id", "node"), "set-names")
     discard(nodes)
-    if not pairs.isEmpty():
-        ends = [F.least("q_class", "s_class").alias("c"), F.greatest("q_class", "s_class").alias("d")]
-        likeliest = stored(pairs.groupBy(*ends).agg(F.max_by(F.struct("q", "s"), "common").alias("p")).select("p.*"), "likeliest")
-        links.append(verified(slim, likeliest, width, percent))
-        now = _named(of_sets.select("node").distinct(), links).select("node", "class")
-        apart = (
-            pairs.select("q", "s")
-            .join(now.select(F.col("node").alias("q"), F.col("class").alias("c")), "q")
-            .join(now.select(F.col("node").alias("s"), F.col("class").alias("d")), "s")
-            .where("c <> d")
-            .join(likeliest, ["q", "s"], "left_anti")
-        )
-        left = stored(apart.select("q", "s"), "apart")
-        if not left.isEmpty():
-            links.append(verified(slim, left, width, percent))
+    links.append(met.where("other IS NOT NULL").select(F.col("node").alias("a"), F.col("other").alias("b")))
+    unsure = met.where("other IS NULL").select("node", "group").distinct()
+    if not unsure.isEmpty():
+        links.append(confirmed(slim, groups, unsure, width, percent))
     found = _named(of_sets, links).select("set_id", "class")
     columns = ["doc_id", F.col("n_shingles").cast("bigint").alias("n_shingles")]
     with_words = named.join(found, "set_id").select(*columns, F.col("class").alias("component_id"))

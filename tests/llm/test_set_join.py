@@ -160,3 +160,55 @@ def test_matrix_holds_only_the_rarest_tokens_of_a_node(spark):
     assert len(held) == 40 * (size // 5 + 1 - (size - 56))
     assert len({r["token"] for r in held}) == len(held) // 40
     assert {r["token"] for r in ranked if r["asks"]} <= {r["token"] for r in held}
+
+
+def nearly_alike(n, seed, n_words=400, edits=22):
+    """Variants with edits from a small store, so that few shingles are one text's own and hardly any two texts link."""
+    rng = random.Random(seed)
+    base = [f"n{rng.randrange(10**6)}" for _ in range(n_words)]
+    out = []
+    for _ in range(n):
+        words = list(base)
+        for at in rng.sample(range(0, n_words, 10), edits):
+            words[at] = "an edit"
+        out.append(" ".join(words))
+    return out
+
+
+def test_rows_do_not_grow_with_the_pairs_of_a_group(spark, monkeypatch):
+    """Tokens of large sets leave most pairs of such a group open; they are settled in the group's task, not as rows."""
+    largest = []
+    stored = set_join.stored
+
+    def counted(df, purpose):
+        made = stored(df, purpose)
+        if "token" not in made.columns:
+            largest.append(made.count())
+        return made
+
+    monkeypatch.setattr(set_join, "stored", counted)
+    pairs = list(enumerate([*nearly_alike(120, 5), *chain(20, 6, 400)]))
+    random.Random(4).shuffle(pairs)
+    got = as_map(set_join.classes(cases.frame(spark, pairs)))
+    assert got == cases.near_classes(pairs, 5)
+    assert len({c for _, c in got.values()}) > 60
+    assert max(largest) <= 5 * len(pairs)
+
+
+def test_links_that_connect_no_classes_stay_in_the_task(spark):
+    """A chain's links join its texts once; queries in several pieces meet the same members."""
+    docs = cases.frame(spark, list(enumerate(variants(60, 8, 80, 6))))
+    rows = set_join.sketches(docs.select("doc_id", "text"), 5, 256, 2)
+    nodes = rows.dropDuplicates(["set_id"]).selectExpr("doc_id AS node", "n_shingles AS size", "tokens")
+    groups = nodes.selectExpr("node", "size", "size AS reach", "node AS class", "1L AS group")
+    asked = groups.select("node", "group")
+    texts = dict(enumerate(variants(60, 8, 80, 6)))
+    kept = [r.node for r in nodes.select("node").collect()]
+    wanted = cases.near_classes([(i, texts[i]) for i in kept], 5)
+    found = set_join.opened(nodes, groups, asked, 80, 256, 2).collect()
+    assert all(r.other is not None for r in found) and len(found) < len(kept)
+    assert len(found) == len(kept) - len({c for _, c in wanted.values()})
+    dealt = set_join._dealt(groups, asked, 80, 16).groupBy("piece", "is_query").count().collect()
+    assert {r["count"] for r in dealt if not r.is_query} == {len(kept)}
+    assert sum(r["count"] for r in dealt if r.is_query) == len(kept)
+    assert len([r for r in dealt if not r.is_query]) == -(-len(kept) // 16)
