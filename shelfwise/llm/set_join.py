@@ -13,7 +13,7 @@ of a set ``q`` and one at least as large, at most ``misses(q)`` shingles of ``q`
    chunks too. The matrix (token, group) holds the union of each group's tokens, with its smallest and
    largest set. Small sets give all shingles as tokens, larger ones those in the lowest part of the hash range.
 4. **Queries.** Any ``misses + 1`` tokens of a node must lead to each of its partners, so the rarest are looked up in the matrix,
-   first which classes hold them, then which groups of classes other than its own. The rarest token that two partners share is also
+   first which classes or buckets of nodes without kin hold them, then which of their groups. The rarest token that two partners share is also
    among the rarest ``spare + 1`` of the larger one, so the matrix holds only those. A node whose own tokens
    occur nowhere else looks up nothing. The few nodes with too few tokens look up their whole sets.
 5. **Bound.** A group is opened only if the query's tokens that its union lacks are few enough; then the tokens that it shares with
@@ -203,7 +203,7 @@ def reached(nodes: DataFrame, shared: DataFrame, percent: int) -> DataFrame:
 
 
 def grouped(nodes: DataFrame, chunk: int = CHUNK) -> DataFrame:
-    """node, size, reach, class, group: kin by class, the others by lowest shingle and size, in chunks."""
+    """node, size, reach, class, family, group: families are kin by class, the others by lowest shingle and size; groups are their chunks."""
     alone = F.count("*").over(Window.partitionBy("class"))
     sizes = nodes.groupBy("class").agg((F.count("*") > 1).alias("kin"))
     n_alone = sizes.where("NOT kin").count()
@@ -212,7 +212,7 @@ def grouped(nodes: DataFrame, chunk: int = CHUNK) -> DataFrame:
     rows = nodes.join(sizes, "class").withColumn("family", family)
     counted = rows.groupBy("family").agg(F.ceil(F.sum(F.col("size") + MEMBER) / chunk).alias("chunks"))
     mine = F.pmod(F.xxhash64("node"), F.col("chunks"))
-    return rows.join(counted, "family").select("node", "size", "reach", "class", F.xxhash64("family", mine).alias("group"))
+    return rows.join(counted, "family").select("node", "size", "reach", "class", "family", F.xxhash64("family", mine).alias("group"))
 
 
 def ranked_tokens(nodes: DataFrame, percent: int, small: int, token_bits: int) -> DataFrame:
@@ -260,17 +260,20 @@ def led(lookups: DataFrame, shared: DataFrame, named: DataFrame, percent: int, l
 
 
 def candidates(lookups: DataFrame, tokens: DataFrame, groups: DataFrame, percent: int) -> DataFrame:
-    """Stored node, group: queries and the groups of other classes that hold one of their looked-up tokens and a set that reaches their size."""
+    """Stored node, group: queries and the groups with other classes that hold one of their looked-up tokens and a set that reaches their size."""
     # Sets that can link to none as the larger one are in no group's union.
-    of = groups.where(F.col("reach") * 100 >= F.col("size") * percent).select("node", "size", "reach", "class", "group")
-    matrix = tokens.select("node", "size", "token").join(of, ["node", "size"]).groupBy("token", "class", "group")
-    matrix = stored(matrix.agg(F.min("size").alias("least"), F.max("reach").alias("most")), "matrix")
+    of = groups.where(F.col("reach") * 100 >= F.col("size") * percent).select("node", "size", "reach", "class", "family", "group")
+    held = [("least", F.min, "size"), ("most", F.max, "reach"), ("first", F.min, "class"), ("last", F.max, "class")]
+    matrix = tokens.select("node", "size", "token").join(of, ["node", "size"]).groupBy("token", "family", "group")
+    matrix = stored(matrix.agg(*(f(of_member).alias(name) for name, f, of_member in held)), "matrix")
     asked = lookups.join(groups.select("node", F.col("class").alias("own")).distinct(), "node")
     fits = (F.col("most") >= F.col("size")) & (F.col("least") * percent <= F.col("size") * 100)
-    # Which classes first: a class of many groups that a token's own class is never fans out.
-    by_class = matrix.groupBy("token", "class").agg(F.min("least").alias("least"), F.max("most").alias("most"))
-    classes = asked.join(by_class, "token").where((F.col("class") != F.col("own")) & fits).select("node", "size", "token", "class")
-    found = stored(classes.join(matrix, ["token", "class"]).where(fits).select("node", "group").distinct(), "asked")
+    fits &= (F.col("first") != F.col("own")) | (F.col("last") != F.col("own"))
+    # Which families first: a class of many groups that a token's own class is never fans out, and nodes without kin are met by
+    # the bucket, not one by one, so a token of many such nodes makes no row for each two of them.
+    by_family = matrix.groupBy("token", "family").agg(*(f(name).alias(name) for name, f, _ in held))
+    families = asked.join(by_family, "token").where(fits).select("node", "size", "own", "token", "family")
+    found = stored(families.join(matrix, ["token", "family"]).where(fits).select("node", "group").distinct(), "asked")
     discard(matrix)
     return found
 

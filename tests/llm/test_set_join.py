@@ -212,3 +212,24 @@ def test_links_that_connect_no_classes_stay_in_the_task(spark):
     assert {r["count"] for r in dealt if not r.is_query} == {len(kept)}
     assert sum(r["count"] for r in dealt if r.is_query) == len(kept)
     assert len([r for r in dealt if not r.is_query]) == -(-len(kept) // 16)
+
+
+def test_nodes_without_kin_are_looked_up_by_group(spark, monkeypatch):
+    """A token of many such nodes has a matrix row for each of their few groups, not for each node."""
+    seen = {}
+    stored = set_join.stored
+
+    def kept(df, purpose):
+        made = stored(df, purpose)
+        if purpose == "matrix":
+            seen["most"] = made.groupBy("token").count().agg({"count": "max"}).first()[0]
+        if purpose == "set-groups":
+            alone = made.groupBy("class").count().where("count = 1").join(made, "class")
+            seen["alone"], seen["groups"] = alone.count(), made.select("group").distinct().count()
+        return made
+
+    monkeypatch.setattr(set_join, "stored", kept)
+    pairs = list(enumerate(nearly_alike(150, 7)))
+    assert as_map(set_join.classes(cases.frame(spark, pairs))) == cases.near_classes(pairs, 5)
+    assert seen["alone"] > 4 * seen["groups"]
+    assert seen["most"] <= seen["groups"]
