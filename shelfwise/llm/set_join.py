@@ -12,6 +12,8 @@ of a set ``q`` and one at least as large, at most ``misses(q)`` shingles of ``q`
 3. **Groups.** Linked nodes form groups of their own; the others are grouped by lowest shingle and size. Groups have bounded
    chunks too. The matrix (token, group) holds the union of each group's tokens, with its smallest and
    largest set. Small sets give all shingles as tokens, larger ones those in the lowest part of the hash range.
+   Nodes that look up a frequent token and the holders of what they look up form the crowd, with groups of its own: by full sets
+   most of it is ruled out, and the rest is grouped by the most frequent looked-up token, so that texts from one source lie together.
 4. **Queries.** Any ``misses + 1`` tokens of a node must lead to each of its partners, so the rarest are looked up in the matrix,
    first which classes or buckets of nodes without kin hold them, then which of their groups. The rarest token that two partners share is also
    among the rarest ``spare + 1`` of the larger one, so the matrix holds only those. A node whose own tokens
@@ -202,6 +204,53 @@ def reached(nodes: DataFrame, shared: DataFrame, percent: int) -> DataFrame:
     return nodes.join(n_shared, ["node", "size"], "left").withColumn("reach", F.least("size", reach).cast("int")).drop("n_shared", "n_tokens")
 
 
+def crowd(lookups: DataFrame, shared: DataFrame, wide: DataFrame) -> DataFrame:
+    """node, size, home of all nodes that hold a token which a node of ``wide`` looks up; ``home`` is the node's most frequent one of these tokens.
+
+    A node holds what it looks up, so those of ``wide`` and all that they may find are in it."""
+    sought = lookups.join(wide, "node", "left_semi").select("token").distinct()
+    home = F.max_by("token", F.struct("df", "token")).alias("home")
+    found = shared.join(sought, "token", "left_semi").groupBy("node", "size").agg(home, F.max("holds").alias("holds"))
+    return found.where("holds").drop("holds")
+
+
+def alone_by_full_sets(docs: DataFrame, nodes: DataFrame, width: int) -> DataFrame:
+    """node, size, alone of ``nodes`` (node, size): how many shingles of the full set no other of these nodes has.
+
+    It is 0 for an id with several sets of one size, which are not told apart."""
+    sets = full_sets(docs, nodes.select("node").distinct(), width).where(F.length("set") > 0)
+    sets = stored(sets.withColumn("size", (F.length("set") / 8).cast("int")), "crowd-sets")
+    mark = F.xxhash64("set")
+    single = sets.groupBy("node", "size").agg((F.min(mark) == F.max(mark)).alias("single"))
+    ends = [f(c).alias(f"{name}_{c}") for c in ("node", "size") for name, f in (("min", F.min), ("max", F.max))]
+    of_token = sets.mapInArrow(_spread, "node bigint, size int, token bigint").groupBy("token").agg(*ends)
+    own = of_token.where("min_node = max_node AND min_size = max_size").groupBy(F.col("min_node").alias("node"), F.col("min_size").alias("size"))
+    found = single.join(own.agg(F.count("*").alias("n")), ["node", "size"], "left")
+    found = stored(found.select("node", "size", F.when(F.col("single"), F.coalesce("n", F.lit(0))).otherwise(0).alias("alone")), "alone")
+    discard(sets)
+    return found
+
+
+def crowd_groups(docs: DataFrame, groups: DataFrame, members: DataFrame, width: int, percent: int, chunk: int = CHUNK) -> DataFrame:
+    """``groups`` of the ``members`` (node, size, home) of the crowd alone, with ``asks``, whether a node may link to any in it as the smaller.
+
+    Kin lie together, the others by their homes; ``reach`` is that within the crowd, by full sets."""
+    alone = alone_by_full_sets(docs, members, width)
+    reach = F.floor((100 + percent) * (F.col("size") - F.col("alone")) / percent) - F.col("size")
+    rows = groups.drop("family", "group").join(members, ["node", "size"]).join(alone, ["node", "size"])
+    rows = rows.withColumn("reach", F.least("reach", reach).cast("int")).withColumn("asks", F.col("alone") <= _misses(F.col("size"), percent))
+    rows = rows.join(rows.groupBy("class").agg((F.count("*") > 1).alias("kin")), "class")
+    family = F.when(F.col("kin"), F.xxhash64(F.lit("crowd kin"), "class")).otherwise(F.xxhash64(F.lit("crowd home"), "home"))
+    return _in_chunks(rows.withColumn("family", family), chunk, "asks")
+
+
+def _in_chunks(rows: DataFrame, chunk: int, *more: str) -> DataFrame:
+    """node, size, reach, class, family, group: families in chunks of about ``chunk`` shingles."""
+    counted = rows.groupBy("family").agg(F.ceil(F.sum(F.col("size") + MEMBER) / chunk).alias("chunks"))
+    mine = F.pmod(F.xxhash64("node"), F.col("chunks"))
+    return rows.join(counted, "family").select("node", "size", "reach", "class", "family", F.xxhash64("family", mine).alias("group"), *more)
+
+
 def grouped(nodes: DataFrame, chunk: int = CHUNK) -> DataFrame:
     """node, size, reach, class, family, group: families are kin by class, the others by lowest shingle and size; groups are their chunks."""
     alone = F.count("*").over(Window.partitionBy("class"))
@@ -209,10 +258,7 @@ def grouped(nodes: DataFrame, chunk: int = CHUNK) -> DataFrame:
     n_alone = sizes.where("NOT kin").count()
     bucket = F.pmod(F.xxhash64("low", F.floor(F.log2(F.col("size")) * 4)), F.lit(max(1, n_alone // GROUP)))
     family = F.when(F.col("kin"), F.xxhash64("class")).otherwise(F.xxhash64(F.lit("alone"), bucket))
-    rows = nodes.join(sizes, "class").withColumn("family", family)
-    counted = rows.groupBy("family").agg(F.ceil(F.sum(F.col("size") + MEMBER) / chunk).alias("chunks"))
-    mine = F.pmod(F.xxhash64("node"), F.col("chunks"))
-    return rows.join(counted, "family").select("node", "size", "reach", "class", "family", F.xxhash64("family", mine).alias("group"))
+    return _in_chunks(nodes.join(sizes, "class").withColumn("family", family), chunk)
 
 
 def ranked_tokens(nodes: DataFrame, percent: int, small: int, token_bits: int) -> DataFrame:
@@ -449,21 +495,23 @@ def verified(docs: DataFrame, pairs: DataFrame, width: int, percent: int) -> Dat
     return found
 
 
+def _spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """node, size, token of each shingle in ``set``."""
+    for batch in parts(batches):
+        sets = [np.frombuffer(s, np.int64) for s in batch.column("set").to_pylist()]
+        rows = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+        flat = np.concatenate(sets) if sets else np.zeros(0, np.int64)
+        yield pa.RecordBatch.from_arrays(
+            [batch.column("node").take(pa.array(rows)), batch.column("size").take(pa.array(rows)), pa.array(flat)], names=["node", "size", "token"]
+        )
+
+
 def _whole_lookups(docs: DataFrame, nodes: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataFrame]:
     """Look-ups of nodes with too few tokens by all their shingles, and those shingles where other nodes have them."""
 
-    def spread(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            sets = [np.frombuffer(s, np.int64) for s in batch.column("set").to_pylist()]
-            rows = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
-            flat = np.concatenate(sets) if sets else np.zeros(0, np.int64)
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("node").take(pa.array(rows)), batch.column("size").take(pa.array(rows)), pa.array(flat)], names=["node", "size", "token"]
-            )
-
-    all_ = full_sets(docs, nodes.select("node", "size"), width).mapInArrow(spread, "node bigint, size int, token bigint")
+    all_ = full_sets(docs, nodes.select("node", "size"), width).mapInArrow(_spread, "node bigint, size int, token bigint")
     short = nodes.where("short").select("node", "size")
-    mine = stored(full_sets(docs, short, width).mapInArrow(spread, "node bigint, size int, token bigint"), "short-tokens")
+    mine = stored(full_sets(docs, short, width).mapInArrow(_spread, "node bigint, size int, token bigint"), "short-tokens")
     return mine, stored(all_.join(mine.select("token").distinct(), "token", "left_semi").select("node", "size", "token"), "short-matrix")
 
 
@@ -506,12 +554,21 @@ def classes(
     if not to_leaders.isEmpty():
         links.append(verified(slim, to_leaders, width, percent))
     groups = stored(grouped(_named(sized, links), chunk), "set-groups")
-    asked = candidates(lookups, shared.where("holds"), groups, percent)
+    held = shared.where("holds")
+    wide = stored(shared.where(F.col("asks") & (F.col("df") > LEAD_FROM)).select("node").distinct(), "wide")
+    asked, crowded = candidates(lookups.join(wide, "node", "left_anti"), held, groups, percent), None
+    if not wide.isEmpty():
+        members = stored(crowd(lookups, shared, wide), "crowd")
+        crowded = stored(crowd_groups(slim, groups, members, width, percent, chunk), "crowd-groups")
+        asking = crowded.join(wide, "node", "left_semi").where("asks").select("node", "size").distinct()
+        crowded = crowded.drop("asks")
+        asked = asked.unionByName(candidates(lookups.join(asking, ["node", "size"]), held, crowded, percent))
     discard(shared)
     if not nodes.where("short").isEmpty():
         whole = _whole_lookups(slim, nodes, width, percent)
         asked = asked.unionByName(candidates(*whole, groups, percent)).distinct()
         discard(*whole)
+    groups = groups if crowded is None else groups.unionByName(crowded)
     met = stored(opened(nodes, groups, asked, percent, small, token_bits), "met")
     of_sets = stored(nodes.select("set_id", "node"), "set-names")
     discard(nodes)

@@ -233,3 +233,66 @@ def test_nodes_without_kin_are_looked_up_by_group(spark, monkeypatch):
     assert as_map(set_join.classes(cases.frame(spark, pairs))) == cases.near_classes(pairs, 5)
     assert seen["alone"] > 4 * seen["groups"]
     assert seen["most"] <= seen["groups"]
+
+
+def edited_apart(n, seed, n_words=700):
+    """Variants that are each edited elsewhere with words of their own: too many edits to link, few among the shingles of a sketch."""
+    rng = random.Random(seed)
+    base = [f"b{rng.randrange(10**6)}" for _ in range(n_words)]
+    out = []
+    for _ in range(n):
+        words = list(base)
+        for at in rng.sample(range(0, n_words, 7), 26):
+            words[at] = f"e{rng.randrange(10**6)}"
+        out.append(" ".join(words))
+    return out
+
+
+def test_rows_of_the_look_up_grow_with_the_nodes(spark, monkeypatch):
+    """Full sets show that most texts with one passage link to none; the others meet those from one source in few groups, not bucket by bucket."""
+    made = []
+    candidates = set_join.candidates
+
+    def counted(lookups, tokens, groups, percent):
+        of = groups.where(set_join.F.col("reach") * 100 >= set_join.F.col("size") * percent).select("node", "size", "family")
+        held = tokens.select("node", "size", "token").join(of, ["node", "size"]).select("token", "family").distinct()
+        made.append(lookups.select("node", "token").join(held, "token").count())
+        return candidates(lookups, tokens, groups, percent)
+
+    monkeypatch.setattr(set_join, "candidates", counted)
+    rows = []
+    for n in (60, 240):
+        made.clear()
+        # One linked text apart from the others, and some that differ in more or fewer words of a small store.
+        texts = [*edited_apart(n, 3), *nearly_alike(n // 2, 5, 700, 24)]
+        pairs = list(enumerate([*texts, *(" ".join(t.split()[:-2]) for t in texts[:: n // 10])]))
+        random.Random(4).shuffle(pairs)
+        assert as_map(set_join.classes(cases.frame(spark, pairs))) == cases.near_classes(pairs, 5)
+        rows.append(sum(made))
+    assert rows[1] <= 4 * rows[0], rows
+
+
+def test_shingles_alone_in_the_crowd(spark):
+    """An id with two texts of one size has none, since they are not told apart; repeated rows hide none."""
+    shared = " ".join(f"s{i}" for i in range(20))
+    texts = [(1, f"{shared} a b"), (2, f"{shared} c"), (2, f"{shared} c"), (3, f"{shared} d e f"), (3, f"{shared} g h i"), (4, "x y z u v w")]
+    docs = cases.frame(spark, texts).select("doc_id", "text")
+    nodes = spark.createDataFrame([(i, len(set(minhash.shingles(t, 5).tolist()))) for i, t in texts if i < 4], "node bigint, size int").distinct()
+    found = set_join.alone_by_full_sets(docs, nodes, 5)
+    assert sorted((r.node, r.size, r.alone) for r in found.collect()) == [(1, 18, 2), (2, 17, 1), (3, 19, 0)]
+
+
+def test_crowd_holds_the_wide_nodes_and_all_they_may_find(spark):
+    docs = cases.frame(spark, list(enumerate(MIXED)))
+    rows = set_join.sketches(docs.select("doc_id", "text"), 5, 256, 2).where("set_id IS NOT NULL").dropDuplicates(["set_id"])
+    nodes = rows.selectExpr("doc_id AS node", "n_shingles AS size", "tokens", "size(tokens) AS n_usable")
+    shared = set_join.ranked_tokens(nodes, 80, 256, 2).persist()
+    lookups = shared.where("asks").select("node", "size", "token")
+    wide = shared.where("asks AND df > 16").select("node").distinct()
+    kept = {r.node for r in set_join.crowd(lookups, shared, wide).collect()}
+    is_wide = {r.node for r in wide.collect()}
+    rows = shared.collect()
+    sought = {r.token for r in rows if r.asks and r.node in is_wide}
+    assert is_wide and is_wide <= kept < {r.node for r in rows}
+    assert kept == {r.node for r in rows if r.holds and r.token in sought}
+    shared.unpersist()
